@@ -147,11 +147,13 @@ def drop_subtrees(tokens: DataFrame, tags: Iterable[str], where: Column | None =
     tags = tuple(tags)
     if where is None:
         return within(tokens, _gone=tags).where("_gone is null").drop("_gone")
-    cuts = elements(tokens, tags).where(where).select("doc_id", F.col("pos").alias("_from"), F.col("end_pos").alias("_to"))
-    # Openers are disjoint or nested, so the furthest end seen so far decides.
-    marks = tokens.join(cuts.withColumnRenamed("_from", "pos"), ["doc_id", "pos"], "left")
-    reach = F.max("_to").over(_doc_order().rowsBetween(W.unboundedPreceding, 0))
-    return marks.withColumn("_reach", reach).where("_reach is null or pos > _reach").drop("_reach", "_to")
+    # The closer of an element is the next tag of its level. Openers are disjoint
+    # or nested, so the furthest end seen so far decides.
+    end = F.when(F.col("kind") == "void", F.col("pos")).otherwise(F.lead("pos").over(W.partitionBy("doc_id", "depth", "_t").orderBy("pos")))
+    chosen = F.col("tag").isin(*tags) & F.col("kind").isin("open", "void") & where
+    marks = tokens.withColumn("_t", F.col("kind") == "text").withColumn("_end", F.when(chosen, end))
+    reach = F.max("_end").over(_doc_order().rowsBetween(W.unboundedPreceding, 0))
+    return marks.withColumn("_reach", reach).where("_reach is null or pos > _reach").drop("_reach", "_end", "_t")
 
 
 def trim_before(tokens: DataFrame, tags: Iterable[str], block: Iterable[str] | None = None) -> DataFrame:

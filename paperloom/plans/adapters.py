@@ -59,11 +59,12 @@ def text(*parts: str | Column) -> Column:
     return F.concat(*out)
 
 
-def papers_from(rows: DataFrame, before: str, line: Column, after: str, order: str = "n") -> DataFrame:
-    """One XML string per ``doc_id``: ``before``, one piece per row, ``after``.
-    The rows are placed by document first, so the tokens need not be moved."""
-    body = ordered_concat(F.col(order), line)
-    return place(rows).groupBy("doc_id").agg(F.concat(F.lit(before), body, F.lit(after)).alias("xml"))
+def papers_from(rows: DataFrame, *parts: str | Column, order: str = "n") -> DataFrame:
+    """One XML string per ``doc_id``: literal parts stand once, column parts
+    once per row, in order. The rows are placed by document first, so the
+    tokens need not be moved."""
+    pieces = [F.lit(x) if isinstance(x, str) else ordered_concat(F.col(order), x) for x in parts]
+    return place(rows).groupBy("doc_id").agg(F.concat(*pieces).alias("xml"))
 
 
 def tokens_of(papers: DataFrame) -> DataFrame:
