@@ -49,11 +49,12 @@ def _numeric_refs(c: Column) -> Column:
 
 
 def unescape(c: Column) -> Column:
-    """Replace entity references by the characters they stand for."""
-    out = F.when(c.contains("&#"), _numeric_refs(c)).otherwise(c)
+    """Replace entity references by the characters they stand for. ``c`` is
+    used once, so it may be a costly expression."""
+    out = _numeric_refs(c)
     for name, char in ENTITIES:
         out = F.replace(out, F.lit(name), F.lit(char))
-    return F.when(c.contains("&"), out).otherwise(c)
+    return out
 
 
 def escape(c: Column) -> Column:
@@ -65,9 +66,10 @@ def escape(c: Column) -> Column:
 
 
 def attr(token: Column, name: str) -> Column:
-    """Value of an attribute of a tag token, NULL when it is absent."""
-    quoted = F.regexp_extract(token, rf"\s{name}\s*=\s*(\"[^\"]*\"|'[^']*')", 1)
-    return F.when(quoted != "", unescape(F.substring(quoted, F.lit(2), F.length(quoted) - 2)))
+    """Value of an attribute of a tag token, NULL when absent or empty."""
+    value = F.regexp_extract(token, rf"\s{name}\s*=\s*([\"'])([\s\S]*?)\1", 2)
+    value = F.nullif(value, F.lit(""))
+    return F.when(token.contains("&"), unescape(value)).otherwise(value)
 
 
 def ordered_list(order: Column, value: Column) -> Column:

@@ -62,7 +62,7 @@ def raw_tokens(docs: DataFrame, markup: str = "xml", blocks: Iterable[str] = SKI
         .when(F.col("tok").endswith("/>"), "void")
         .otherwise("open")
     )
-    text = F.when(cdata, F.expr("substring(tok, 10, length(tok) - 12)")).otherwise(unescape(F.col("tok")))
+    text = F.when(cdata, F.expr("substring(tok, 10, length(tok) - 12)")).when(F.col("tok").contains("&"), unescape(F.col("tok"))).otherwise(F.col("tok"))
     return cut.select(
         "doc_id",
         "pos",

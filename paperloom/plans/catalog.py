@@ -1,4 +1,4 @@
 """Importing this module registers every query."""
 
-from paperloom.plans import markup, spanning  # noqa: F401
+from paperloom.plans import entity_queries, float_queries, markup, spanning  # noqa: F401
 from paperloom.plans.registry import ORACLES, QUERIES  # noqa: F401
