@@ -126,3 +126,32 @@ sentences AS (
           FROM (SELECT doc_id, para_no, regexp_extract_all(para_text, '[^.!?]+[.!?]*') AS l FROM paragraphs)))
   WHERE sentence <> '')"""
 )
+
+
+def document_papers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as nested papers: the first line is the title, each further
+    line a body paragraph with its sentences. Built inside each row."""
+    lines = F.split("text", "\n")
+    sents = lambda p: F.filter(
+        F.transform(F.regexp_extract_all(p, F.lit(SENTENCE_RE), F.lit(0)), lambda s: F.trim(F.regexp_replace(s, r"[ \t\r\n\f]+", " "))), lambda s: s != ""
+    )
+    made = lambda p: F.transform(sents(p), lambda s, i: F.struct(s.alias("sentence"), F.concat(i + 1, F.lit(",0,0,1,1")).alias("coords")))
+    spans = F.expr("cast(array() as array<struct<start:int,end:int,text:string,ref_id:string>>)")
+    para = lambda p, i: F.struct(
+        F.to_json(made(p)).alias("text"), spans.alias("cite_spans"), spans.alias("ref_spans"),
+        F.concat(F.lit("Part "), i % 3).alias("section"), i.cast("string").alias("sec_num"), made(p).alias("sentences"),
+    )
+    body = F.transform(F.slice(lines, 2, F.size(lines)), para)
+    authors = F.expr("cast(array() as array<struct<first:string,last:string>>)")
+    return table(spark, sf_dir, "documents").select(
+        F.col("doc_id").cast("string").alias("doc_id"),
+        lines[0].alias("title"),
+        F.lit("1").alias("coords"),
+        F.sha1("text").alias("pdf_hash"),
+        F.struct(lines[0].alias("title"), authors.alias("authors"), F.col("source").alias("venue"), F.lit("2019").alias("year"), F.create_map(F.lit("lang"), F.col("lang")).alias("identifiers")).alias("metadata"),
+        F.slice(body, 1, 0).alias("abstract"),
+        body.alias("body_text"),
+        F.slice(body, 1, 0).alias("back_matter"),
+        F.expr("cast(map() as map<string,struct<title:string>>)").alias("bib_entries"),
+        F.expr("cast(map() as map<string,struct<type:string>>)").alias("ref_entries"),
+    )
