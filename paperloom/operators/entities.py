@@ -233,10 +233,10 @@ def dedup_authors(authors: DataFrame) -> DataFrame:
     )
 
 
-def tei_affiliations(tokens: DataFrame, item: str = "affiliation") -> DataFrame:
+def tei_affiliations(tokens: DataFrame, item: str = "affiliation", owner: str = "author") -> DataFrame:
     """Laboratory, institution and address parts of each affiliation; one
-    without either name is dropped."""
-    marked = within(tokens, _i=item, _o="orgName", _adr="address").where("_i is not null")
+    without either name is dropped. ``owner_pos`` is the author around it."""
+    marked = within(tokens, _i=item, _o="orgName", _adr="address", _own=owner).where("_i is not null")
     upto = W.partitionBy("doc_id").orderBy("pos").rowsBetween(W.unboundedPreceding, 0)
     inner = F.when(F.col("_adr").isNotNull() & (F.col("kind") == "open") & (F.col("tag") != "address"), F.col("pos"))
     level = F.last(F.when(inner.isNotNull(), F.col("depth")), ignorenulls=True).over(upto)
@@ -248,16 +248,17 @@ def tei_affiliations(tokens: DataFrame, item: str = "affiliation") -> DataFrame:
         F.min(F.when(F.col("pos") == F.col("_u"), F.col("tag"))).alias("tag"),
         F.min(F.when(F.col("pos") == F.col("_u"), attr(F.col("tok"), "type"))).alias("type"),
         ordered_concat(F.col("pos"), F.col("text")).alias("text"),
+        F.min("_own").alias("owner_pos"),
     )
     org = lambda t: F.coalesce(last_by(F.col("text"), F.col("_u"), (F.col("tag") == "orgName") & (F.col("type") == t)), F.lit(""))
     part = F.when((F.col("tag") != "orgName") & (F.col("text") != ""), F.struct(F.col("tag").alias("k"), F.col("text").alias("v")))
     pairs = ordered_list(F.col("_u"), part)
     rows = f.groupBy("doc_id", F.col("_i").alias("pos")).agg(
-        org("laboratory").alias("laboratory"), org("institution").alias("institution"), pairs.alias("_parts")
+        org("laboratory").alias("laboratory"), org("institution").alias("institution"), pairs.alias("_parts"), F.min("owner_pos").alias("owner_pos")
     )
     # A later part of the same name wins.
     keep = F.filter("_parts", lambda x, i: ~F.exists(F.slice("_parts", i + 2, F.size("_parts")), lambda y: y["k"] == x["k"]))
-    return rows.where("laboratory <> '' or institution <> ''").select("doc_id", "pos", "laboratory", "institution", F.map_from_entries(keep).alias("location"))
+    return rows.where("laboratory <> '' or institution <> ''").select("doc_id", "pos", "owner_pos", "laboratory", "institution", F.map_from_entries(keep).alias("location"))
 
 
 def jats_affiliations(tokens: DataFrame) -> DataFrame:

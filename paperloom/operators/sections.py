@@ -240,6 +240,22 @@ def section_names(tokens: DataFrame, tags: Iterable[str], limit: int = 50) -> Da
     )
 
 
+def section_texts(tokens: DataFrame, tags: Iterable[str], head: str = "head") -> DataFrame:
+    """Name of every section at any depth: the text of the head directly inside."""
+    secs = list(tags)
+    marked = within(nest_level(tokens, secs), _h=head)
+    is_sec = F.col("tag").isin(secs) & (F.col("kind") == "open")
+    level = W.partitionBy("doc_id", "nest").orderBy("pos").rowsBetween(W.unboundedPreceding, 0)
+    around = F.last(F.when(is_sec, F.struct("pos", "depth")), ignorenulls=True).over(level)
+    heads = marked.withColumn("_sec", around).where("_h is not null")
+    texts = heads.groupBy("doc_id", "_h").agg(
+        F.min(F.when(F.col("pos") == F.col("_h"), F.col("_sec"))).alias("_sec"),
+        F.min(F.when(F.col("pos") == F.col("_h"), F.col("depth"))).alias("_depth"),
+        tidy(ordered_concat(F.col("pos"), F.col("text"))).alias("_name"),
+    )
+    return texts.where("_depth = _sec.depth + 1").groupBy("doc_id", F.col("_sec.pos").alias("pos")).agg(F.min_by("_name", "_h").alias("name"))
+
+
 def list_items(items: DataFrame, text: str = "item_text", number: str = "list_num") -> DataFrame:
     """B15, text side: settings items (``[…]``) are dropped, numbered ones get
     ``n. `` in front; ``shift`` is what spans in them must move by."""

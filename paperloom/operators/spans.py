@@ -226,7 +226,7 @@ def formula_pieces(tokens: DataFrame, para: str = "p") -> DataFrame:
     counted = W.partitionBy("doc_id", "para_pos", "kind", F.col("target").isNotNull()).orderBy("pos")
     named = F.when(F.col("kind") == "ref", F.concat(name, F.row_number().over(counted) - 1)).otherwise(F.col("text"))
     is_ref = F.col("kind") == "ref"
-    return pieces.withColumn("text", named).withColumns({"part": F.lit(0), "padded": is_ref, "is_span": is_ref})
+    return pieces.withColumn("text", named).withColumns({"sub": F.lit(0), "padded": is_ref, "is_span": is_ref})
 
 
 def layout_formulas(pieces: DataFrame) -> DataFrame:

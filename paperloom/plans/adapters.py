@@ -128,7 +128,7 @@ sentences AS (
 )
 
 
-def document_papers(spark: SparkSession, sf_dir: str) -> DataFrame:
+def document_papers(spark: SparkSession, sf_dir: str, docs: DataFrame | None = None) -> DataFrame:
     """Documents as nested papers: the first line is the title, each further
     line a body paragraph with its sentences. Built inside each row."""
     lines = F.split("text", "\n")
@@ -143,7 +143,8 @@ def document_papers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     body = F.transform(F.slice(lines, 2, F.size(lines)), para)
     authors = F.expr("cast(array() as array<struct<first:string,last:string>>)")
-    return table(spark, sf_dir, "documents").select(
+    docs = table(spark, sf_dir, "documents") if docs is None else docs
+    return docs.select(
         F.col("doc_id").cast("string").alias("doc_id"),
         lines[0].alias("title"),
         F.lit("1").alias("coords"),
