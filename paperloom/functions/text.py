@@ -78,6 +78,14 @@ def ordered_list(order: Column, value: Column) -> Column:
     return F.transform(pairs, lambda x: x["v"])
 
 
+def ordered_items(order: Column, value: Column) -> Column:
+    """Aggregate: like ``ordered_list`` for values that cannot be compared,
+    such as structs with maps; only the order decides."""
+    pairs = F.collect_list(F.when(value.isNotNull(), F.struct(order.alias("k"), value.alias("v"))))
+    by_key = lambda a, b: F.when(a["k"] < b["k"], -1).when(a["k"] > b["k"], 1).otherwise(0)
+    return F.transform(F.array_sort(pairs, by_key), lambda x: x["v"])
+
+
 def ordered_concat(order: Column, value: Column, sep: str = "") -> Column:
     """Aggregate: string values joined in the given order."""
     return F.array_join(ordered_list(order, value), sep)

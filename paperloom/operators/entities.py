@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from paperloom.functions.text import attr, blank_to_null, first_by, last_by, ordered_concat, ordered_list, tidy
-from paperloom.operators.tokens import within
+from paperloom.operators.tokens import only, within
 
 # Title levels that name a venue, best first; name endings that
 # are not a last name; kinds of date, best first; resolver of identifiers.
@@ -26,7 +26,8 @@ def item_fields(tokens: DataFrame, item: str | tuple[str, ...], fields: Iterable
     """One row per field element inside an item, plus one for the item itself:
     ``doc_id, item_pos, pos, tag, text`` and one column ``@name`` per attribute,
     read here once. Fields do not nest."""
-    marked = within(tokens, _i=item, _x=tuple(fields)).where("_i is not null")
+    items = (item,) if isinstance(item, str) else tuple(item)
+    marked = within(only(tokens, *items, *fields), _i=items, _x=tuple(fields)).where("_i is not null")
     unit = F.coalesce("_x", F.when(F.col("pos") == F.col("_i"), F.col("pos")))
     start = F.col("pos") == F.col("_u")
     return (

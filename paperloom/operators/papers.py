@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paperloom.functions.text import ordered_list
+from paperloom.functions.text import ordered_items, ordered_list
 from paperloom.schemas import PAPER_JSON_DDL, PARAGRAPH, paper_json
 
 # Keys put out per type of reference entry, in output order.
@@ -52,15 +52,15 @@ def assemble(
         )
         paras = paras.join(keyed, ["doc_id", "part", "para_no"], "left")
     body = F.struct(*[c for c in paras.columns if c not in ("doc_id", "part", "para_no")])
-    nested = paras.groupBy("doc_id").agg(*[ordered_list(F.col("para_no"), F.when(F.col("part") == p, body)).alias(p) for p in PARTS])
+    nested = paras.groupBy("doc_id").agg(*[ordered_items(F.col("para_no"), F.when(F.col("part") == p, body)).alias(p) for p in PARTS])
     out = meta.join(nested, "doc_id", "left")
     if authors is not None:
         rows = F.struct(*[c for c in authors.columns if c not in ("doc_id", "pos")])
-        out = out.join(authors.groupBy("doc_id").agg(ordered_list(F.col("pos"), rows).alias("authors")), "doc_id", "left")
+        out = out.join(authors.groupBy("doc_id").agg(ordered_items(F.col("pos"), rows).alias("authors")), "doc_id", "left")
     for table, key, name in ((bibs, "key", "bib_entries"), (entries, "ref_id", "ref_entries")):
         if table is not None:
             value = F.struct(*[c for c in table.columns if c not in ("doc_id", key)])
-            pairs = F.array_sort(F.collect_list(F.struct(F.col(key).alias("k"), value.alias("v"))), lambda a, b: F.when(a["k"] < b["k"], -1).when(a["k"] > b["k"], 1).otherwise(0))
+            pairs = ordered_items(F.col(key), F.struct(F.col(key).alias("k"), value.alias("v")))
             out = out.join(table.groupBy("doc_id").agg(F.map_from_entries(pairs).alias(name)), "doc_id", "left")
     return out
 

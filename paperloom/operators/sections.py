@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from paperloom.functions.text import attr, blank_to_null, collapse_ws, ordered_concat, ordered_list, tidy
-from paperloom.operators.tokens import attr_of, element_text, within
+from paperloom.operators.tokens import attr_of, element_text, only, within
 
 SECTION_SEP = "::"
 # Markers a paragraph may carry for references and raised or
@@ -51,7 +51,7 @@ def sectioned_paragraphs(
     that level, which is the one around it: no pairs, no joins, any depth.
     """
     secs = list(sections)
-    marked = within(nest_level(tokens, secs), _p=tuple(paras), _h=head)
+    marked = within(nest_level(only(tokens, *secs, *paras, head), secs), _p=tuple(paras), _h=head)
     is_sec = F.col("tag").isin(secs) & (F.col("kind") == "open")
     unit = F.coalesce("_p", "_h", F.when(is_sec, F.col("pos")))
     at_start = F.col("pos") == F.col("_unit")
@@ -141,7 +141,7 @@ def number_paragraphs(paras: DataFrame, name: str = "para_no") -> DataFrame:
 def sentence_rows(tokens: DataFrame, para: str = "p", sent: str = "s") -> DataFrame:
     """One row per sentence element, with coordinates; a paragraph without
     any gives one sentence, its whole text."""
-    marked = within(tokens, _p=para, _s=sent).where("_p is not null")
+    marked = within(only(tokens, para, sent), _p=para, _s=sent).where("_p is not null")
     rows = marked.groupBy("doc_id", F.col("_p").alias("para_pos"), "_s").agg(
         F.min("pos").alias("pos"),
         collapse_ws(ordered_concat(F.col("pos"), F.col("text"))).alias("sentence"),
@@ -281,7 +281,7 @@ def shift_spans(spans: DataFrame, by: str = "shift") -> DataFrame:
 
 def titles(tokens: DataFrame, tag: str = "title") -> DataFrame:
     """The title of level ``a``, else the first; coordinates default to 1."""
-    marked = within(tokens, _t=tag).where("_t is not null")
+    marked = within(only(tokens, tag), _t=tag).where("_t is not null")
     each = marked.groupBy("doc_id", "_t").agg(
         ordered_concat(F.col("pos"), F.col("text")).alias("_text"), attr_of("_t", "level").alias("_level"), attr_of("_t", "coords").alias("_coords")
     )

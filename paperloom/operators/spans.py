@@ -113,13 +113,17 @@ def inside_existing(spans: DataFrame, existing: DataFrame, keys: list[str]) -> D
     return both.where("_probe = 1 and end <= _reach").drop("_probe", "_reach")
 
 
-def span_violations(spans: DataFrame, keys: list[str], text: str = "para_text", surface: str = "surface") -> DataFrame:
-    """Spans whose text is not what stands at their offsets, or whose start
-    is shared, with the reason."""
+def span_checks(spans: DataFrame, keys: list[str], text: str = "para_text", surface: str = "surface") -> DataFrame:
+    """Add ``reason`` to spans whose text is not what stands at their
+    offsets, or whose start is shared; NULL for good ones."""
     at = F.substring(F.col(text), F.col("start") + 1, F.col("end") - F.col("start"))
     twins = F.count("*").over(W.partitionBy(*keys, "start"))
-    reason = F.when(at != F.col(surface), "text_mismatch").when(F.col("_twins") > 1, "duplicate_start")
-    return spans.withColumn("_twins", twins).withColumn("reason", reason).where("reason is not null").drop("_twins")
+    return spans.withColumn("reason", F.when(at != F.col(surface), "text_mismatch").when(twins > 1, "duplicate_start"))
+
+
+def span_violations(spans: DataFrame, keys: list[str], text: str = "para_text", surface: str = "surface") -> DataFrame:
+    """The spans that fail, with the reason, for quarantine."""
+    return span_checks(spans, keys, text, surface).where("reason is not null")
 
 
 def resolve_by_precedence(refs: DataFrame, entries: DataFrame) -> DataFrame:
@@ -229,13 +233,6 @@ def formula_pieces(tokens: DataFrame, para: str = "p") -> DataFrame:
     return pieces.withColumn("text", named).withColumns({"sub": F.lit(0), "padded": is_ref, "is_span": is_ref})
 
 
-def layout_formulas(pieces: DataFrame) -> DataFrame:
-    """Lay out ``formula_pieces``: offsets of the tokens in the paragraph text."""
-    from paperloom.operators.citations import layout
-
-    return layout(pieces, ["math", "latex", "target"])
-
-
 def bibitems(tokens: DataFrame) -> DataFrame:
     """Bibliography items with an id, in list order."""
     own = tokens.where((F.col("tag") == "bibitem") & (F.col("kind") != "close"))

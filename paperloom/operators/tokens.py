@@ -113,17 +113,10 @@ def within(tokens: DataFrame, **targets: str | tuple[str, ...]) -> DataFrame:
     return out.withColumns(openers).drop(*cols)
 
 
-def elements(tokens: DataFrame, tags: Iterable[str] | None = None) -> DataFrame:
-    """One row per element: its opening token plus ``end_pos``, the position of
-    its closing token, found as the next tag of the same level."""
-    marks = tokens.where("kind <> 'text'")
-    paired = marks.withColumn("_next", F.lead("pos").over(_doc_order("depth")))
-    opens = paired.where("kind in ('open', 'void')").withColumn(
-        "end_pos", F.when(F.col("kind") == "void", F.col("pos")).otherwise(F.col("_next"))
-    )
-    if tags is not None:
-        opens = opens.where(F.col("tag").isin(list(tags)))
-    return opens.drop("_next", "text", "kind")
+def only(tokens: DataFrame, *tags: str) -> DataFrame:
+    """Text and the given tags; the other tags say nothing to the operator, and
+    dropping them first keeps the ordered passes short."""
+    return tokens.where(F.col("tag").isNull() | F.col("tag").isin(*tags))
 
 
 def unwrap(tokens: DataFrame, tags: Iterable[str], pad: Iterable[str] = ()) -> DataFrame:

@@ -1,6 +1,5 @@
 """Queries over whole papers: files, assembly, layouts, rendering (A, E)."""
 
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from paperloom.operators import citations as C
@@ -163,13 +162,15 @@ def e1_assemble(spark, sf_dir):
     bib = F.when(F.col("p") % 4 != 0, text('<biblStruct xml:id="b{n}"><title>T{p}</title></biblStruct>')).otherwise("")
     tokens = tokens_of(papers_from(cites(spark, sf_dir), "<TEI><body>", line, "</body><back><listBibl>", bib, "</listBibl></back></TEI>"))
     bibs = tei_bibliography(tokens).select("doc_id", C.tei_key(F.col("bib_id")).alias("key"), "title", "year", "venue")
-    placed = C.cite_and_ref_spans(C.linked_pieces(C.paragraph_pieces(tokens), bibs))
-    number = F.dense_rank().over(W.partitionBy("doc_id").orderBy("para_pos"))
-    paras = S.number_paragraphs(C.paragraph_texts(placed).withColumnRenamed("para_pos", "pos"))
-    paras = paras.select("doc_id", F.lit("body_text").alias("part"), (F.col("para_no") + 1).alias("para_no"), F.lit("Body").alias("section"), F.lit(None).cast("string").alias("sec_num"), "para_text")
-    spans = C.resolved(placed).select("doc_id", F.lit("body_text").alias("part"), number.alias("para_no"), "kind", "start", "end", "text", "ref_id")
+    laid = C.cited_paragraphs(C.linked_pieces(C.paragraph_pieces(tokens), bibs)).withColumnRenamed("para_pos", "pos")
+    numbered = S.number_paragraphs(laid).withColumn("part", F.lit("body_text"))
+    # Spans stay with their paragraph, so nothing has to be joined again.
+    only = lambda k: F.transform(F.filter("spans", lambda s: s["kind"] == k), lambda s: s.dropFields("kind"))
+    paras = numbered.select(
+        "doc_id", "part", "para_no", F.lit("Body").alias("section"), F.lit(None).cast("string").alias("sec_num"), "para_text", only("cite").alias("cite_spans"), only("ref").alias("ref_spans")
+    )
     meta = tokens.select("doc_id").distinct().withColumn("title", text("Order {doc_id}"))
-    papers = P.assemble(meta, paras, spans, bibs)
+    papers = P.assemble(meta, paras, bibs=bibs)
     cite = lambda p: F.array_join(F.transform(p["cite_spans"], lambda s: F.concat_ws("-", s["start"], s["end"], F.coalesce(s["ref_id"], F.lit("none")))), "|")
     entries = F.transform(F.map_entries("bib_entries"), lambda e: F.concat(e["key"], F.lit("="), e["value"]["title"]))
     return papers.select(

@@ -42,9 +42,8 @@ def c2_citation_spans(spark, sf_dir):
     line = text("<p>Uses ", ref, ' for {q}.</p><p>seen ({p})<ref type="bibr">[{n}]</ref>.</p>')
     tokens = tokens_of(papers_from(cites(spark, sf_dir), "<TEI><body>", line, "</body><back><listBibl>", _bib(), "</listBibl></back></TEI>"))
     keys = C.bibliography_keys(tokens)
-    placed = C.cite_and_ref_spans(C.linked_pieces(C.paragraph_pieces(tokens), keys))
-    spans = C.resolved(placed)
-    return spans.join(C.paragraph_texts(placed), C.PARA).select("doc_id", "para_text", "start", "end", "text", "ref_id")
+    paras = C.cited_paragraphs(C.linked_pieces(C.paragraph_pieces(tokens), keys))
+    return C.span_rows(paras, "para_text").select("doc_id", "para_text", "start", "end", "text", "ref_id")
 
 
 @query("c3_bracket_style", f"WITH {CITES} SELECT doc_id, 2 * count(*) FILTER (p % 2 = 0) > 5 AS bracket FROM cites GROUP BY doc_id")
@@ -70,8 +69,8 @@ def c4_bracket_filter(spark, sf_dir):
     )
     tokens = tokens_of(papers_from(cites(spark, sf_dir), "<TEI><body>", line, "</body><back><listBibl>", _bib(), "</listBibl></back></TEI>"))
     keys = C.bibliography_keys(tokens)
-    placed = C.cite_and_ref_spans(C.linked_pieces(C.paragraph_pieces(tokens), keys), C.bracket_style(tokens))
-    return C.resolved(placed, keys).select("doc_id", "start", "end", "text", "ref_id")
+    paras = C.cited_paragraphs(C.linked_pieces(C.paragraph_pieces(tokens), keys), C.bracket_style(tokens))
+    return C.span_rows(paras).select("doc_id", "start", "end", "text", "ref_id")
 
 
 @query(
@@ -103,8 +102,8 @@ def c6_range_expansion(spark, sf_dir):
     bib = text(*[x for i in (first, last) for x in ('<biblStruct xml:id="b', i, '"><title>T</title></biblStruct>')])
     tokens = tokens_of(papers_from(rows, "<TEI><body><div>", line, "</div></body><back><listBibl>", bib, "</listBibl></back></TEI>"))
     keys = C.bibliography_keys(tokens)
-    placed = C.cite_and_ref_spans(C.linked_pieces(C.paragraph_pieces(tokens), keys), C.bracket_style(tokens))
-    return C.resolved(placed, keys).select("doc_id", "start", "end", "text", "ref_id")
+    paras = C.cited_paragraphs(C.linked_pieces(C.paragraph_pieces(tokens), keys), C.bracket_style(tokens))
+    return C.span_rows(paras).select("doc_id", "start", "end", "text", "ref_id")
 
 
 @query(
@@ -121,8 +120,7 @@ def c7_figure_table_spans(spark, sf_dir):
     )
     tokens = tokens_of(papers_from(cites(spark, sf_dir), "<TEI><body>", line, "</body></TEI>"))
     pieces = C.linked_pieces(C.paragraph_pieces(tokens), C.bibliography_keys(tokens), C.entry_keys(tokens))
-    placed = C.cite_and_ref_spans(pieces)
-    return C.resolved(placed).join(C.paragraph_texts(placed), C.PARA).select("doc_id", "para_text", "start", "end", "text", "ref_id")
+    return C.span_rows(C.cited_paragraphs(pieces), "para_text").select("doc_id", "para_text", "start", "end", "text", "ref_id")
 
 
 @query(
@@ -223,8 +221,8 @@ def c12_formula_spans(spark, sf_dir):
         '<formula id="uid{n}"><math>y{q}</math><texmath>y^{q}</texmath></formula> hold.</p>'
     )
     tokens = tokens_of(papers_from(cites(spark, sf_dir).withColumn("doc_id", text("{doc_id}/{n}")), line))
-    placed = P.layout_formulas(P.formula_pieces(tokens))
-    spans = placed.where("is_span").join(C.paragraph_texts(placed), C.PARA)
+    placed = C.layout(P.formula_pieces(tokens), ["math", "latex", "target"])
+    spans = C.span_rows(C.laid_paragraphs(placed, "math", "latex", "target"), "para_text")
     part = F.split("doc_id", "/")
     return spans.select(
         part[0].alias("doc_id"), part[1].cast("int").alias("n"), "start", "end", F.col("text").alias("token"), "math", "latex",
@@ -332,11 +330,9 @@ def c18_integrity_holds(spark, sf_dir):
     # Every span a paragraph layout makes reads back its own surface.
     line = text('<p>A<ref type="bibr" target="#b{n}"> [{n}]</ref>  b <i>{q}</i></p>')
     tokens = tokens_of(papers_from(cites(spark, sf_dir), "<body>", line, "</body>"))
-    placed = C.cite_and_ref_spans(C.linked_pieces(C.paragraph_pieces(tokens), C.bibliography_keys(tokens)))
-    spans = C.resolved(placed).withColumnRenamed("text", "surface").join(C.paragraph_texts(placed), C.PARA)
-    broken = P.span_violations(spans, C.PARA).select("doc_id", "para_pos", "start", F.lit(1).alias("bad"))
-    joined = spans.join(broken, ["doc_id", "para_pos", "start"], "left")
-    return joined.agg(F.count("*").alias("spans"), F.count("bad").alias("violations"))
+    paras = C.cited_paragraphs(C.linked_pieces(C.paragraph_pieces(tokens), C.bibliography_keys(tokens)))
+    spans = P.span_checks(C.span_rows(paras, "para_text").withColumnRenamed("text", "surface"), C.PARA)
+    return spans.agg(F.count("*").alias("spans"), F.count("reason").alias("violations"))
 
 
 @query("c19_bibliography_numbers", f"WITH {CITES} SELECT doc_id, concat('bid', p) AS bib_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY n) - 1 AS INTEGER) AS num FROM cites")

@@ -33,7 +33,7 @@ def describe_files(files: DataFrame) -> DataFrame:
 
 def scan_xml(spark: SparkSession, path: str) -> DataFrame:
     """A2: whole XML files, one row each, as ``doc_id, xml``."""
-    text = spark.read.option("wholetext", True).text(path).withColumn("_path", F.col("_metadata.file_path"))
+    text = spark.read.text(path, wholetext=True).withColumn("_path", F.col("_metadata.file_path"))
     return text.select(F.regexp_replace(F.element_at(F.split("_path", "/"), -1), r"\.[^.]+$", "").alias("doc_id"), F.col("value").alias("xml"))
 
 
