@@ -39,6 +39,7 @@ def assemble(
     section, sec_num, para_text`` (and ``sentences``); ``spans``: ``doc_id,
     part, para_no, kind, start, end, text, ref_id``; ``bibs``: ``doc_id, key,
     …``; ``entries``: ``doc_id, ref_id, …``; ``authors``: ``doc_id, pos, …``.
+    Entries with a ``pos`` keep that order, others the order of their keys.
     A paper is one row by definition, so it must fit a task; the long tables
     are the form for anything larger.
     """
@@ -59,8 +60,8 @@ def assemble(
         out = out.join(authors.groupBy("doc_id").agg(ordered_items(F.col("pos"), rows).alias("authors")), "doc_id", "left")
     for table, key, name in ((bibs, "key", "bib_entries"), (entries, "ref_id", "ref_entries")):
         if table is not None:
-            value = F.struct(*[c for c in table.columns if c not in ("doc_id", key)])
-            pairs = ordered_items(F.col(key), F.struct(F.col(key).alias("k"), value.alias("v")))
+            value = F.struct(*[c for c in table.columns if c not in ("doc_id", "pos", key)])
+            pairs = ordered_items(F.col("pos" if "pos" in table.columns else key), F.struct(F.col(key).alias("k"), value.alias("v")))
             out = out.join(table.groupBy("doc_id").agg(F.map_from_entries(pairs).alias(name)), "doc_id", "left")
     return out
 

@@ -161,7 +161,7 @@ def e1_assemble(spark, sf_dir):
     line = text('<p>Uses <ref type="bibr" target="#b{n}">[{n}]</ref>.</p>')
     bib = F.when(F.col("p") % 4 != 0, text('<biblStruct xml:id="b{n}"><title>T{p}</title></biblStruct>')).otherwise("")
     tokens = tokens_of(papers_from(cites(spark, sf_dir), "<TEI><body>", line, "</body><back><listBibl>", bib, "</listBibl></back></TEI>"))
-    bibs = tei_bibliography(tokens).select("doc_id", C.tei_key(F.col("bib_id")).alias("key"), "title", "year", "venue")
+    bibs = tei_bibliography(tokens).select("doc_id", C.tei_key(F.col("bib_id")).alias("key"), "pos", "title", "year", "venue")
     laid = C.cited_paragraphs(C.linked_pieces(C.paragraph_pieces(tokens), bibs)).withColumnRenamed("para_pos", "pos")
     numbered = S.number_paragraphs(laid).withColumn("part", F.lit("body_text"))
     # Spans stay with their paragraph, so nothing has to be joined again.

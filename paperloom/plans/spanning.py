@@ -46,7 +46,7 @@ def c2_citation_spans(spark, sf_dir):
     return C.span_rows(paras, "para_text").select("doc_id", "para_text", "start", "end", "text", "ref_id")
 
 
-@query("c3_bracket_style", f"WITH {CITES} SELECT doc_id, 2 * count(*) FILTER (p % 2 = 0) > 5 AS bracket FROM cites GROUP BY doc_id")
+@query("c3_bracket_style", f"WITH {CITES} SELECT doc_id, 2 * count(*) FILTER (p % 2 = 0 AND n <= 999) > 5 AS bracket FROM cites GROUP BY doc_id")
 def c3_bracket_style(spark, sf_dir):
     head = F.when(F.col("p") % 2 == 1, "<head>H</head>").otherwise("")
     line = text("<div><div>", head, '<p><ref type="bibr">[{n}]</ref> <ref type="bibr" target="#b0">[{n}, 9]</ref><ref type="bibr">{n}</ref><ref>[1]</ref></p></div></div>')
@@ -55,7 +55,7 @@ def c3_bracket_style(spark, sf_dir):
 
 @query(
     "c4_bracket_filter",
-    f"""WITH {CITES}, lines AS (SELECT *, 3 * count(*) OVER (PARTITION BY doc_id) + count(*) FILTER (p % 3 <> 0) OVER (PARTITION BY doc_id) > 5 AS bracket,
+    f"""WITH {CITES}, lines AS (SELECT *, 3 * count(*) FILTER (n <= 999) OVER (PARTITION BY doc_id) + count(*) FILTER (p % 3 <> 0 AND n <= 999) OVER (PARTITION BY doc_id) > 5 AS bracket,
       CASE WHEN p % 3 = 0 THEN CAST(n AS VARCHAR) ELSE concat('[', n, ']') END AS surface FROM cites)
     SELECT doc_id, 4::INTEGER AS start, CAST(4 + length(surface) AS INTEGER) AS "end", surface AS text, {_REF} AS ref_id
     FROM lines WHERE NOT (p % 4 <> 0 AND bracket AND p % 3 = 0)
@@ -85,13 +85,14 @@ def c5_range_marker(spark, sf_dir):
 
 @query(
     "c6_range_expansion",
-    f"""WITH {CITES}, lines AS (SELECT *, CASE WHEN p % 7 = 0 THEN 1 ELSE 2 + p % 5 END AS d, 2 * count(*) OVER (PARTITION BY doc_id) > 5 AS bracket FROM cites),
+    f"""WITH {CITES}, wide AS (SELECT *, CASE WHEN p % 7 = 0 THEN 1 ELSE 2 + p % 5 END AS d FROM cites),
+    lines AS (SELECT *, d > 1 AND n + d <= 999 AND count(*) FILTER (n <= 999) OVER (PARTITION BY doc_id) + count(*) FILTER (n + d <= 999) OVER (PARTITION BY doc_id) > 5 AS grows FROM wide),
     keys AS (SELECT doc_id, n - 1 AS k FROM lines UNION SELECT doc_id, n - 1 + d FROM lines),
-    grown AS (SELECT l.doc_id, l.n, l.d, unnest(generate_series(0, l.d)) AS s FROM lines l WHERE bracket AND d > 1),
+    grown AS (SELECT l.doc_id, l.n, l.d, unnest(generate_series(0, l.d)) AS s FROM lines l WHERE grows),
     spans AS (
       SELECT doc_id, CAST(3 + sum(length(concat('[', n + s, ']')) + 1) OVER (PARTITION BY doc_id, n ORDER BY s) - length(concat('[', n + s, ']')) - 1 AS INTEGER) AS start, concat('[', n + s, ']') AS text, n - 1 + s AS k FROM grown
-      UNION ALL SELECT doc_id, 3::INTEGER, concat('[', n, ']'), n - 1 FROM lines WHERE NOT (bracket AND d > 1)
-      UNION ALL SELECT doc_id, CAST(3 + {_LEN} + 3 AS INTEGER), concat('[', n + d, ']'), n - 1 + d FROM lines WHERE NOT (bracket AND d > 1))
+      UNION ALL SELECT doc_id, 3::INTEGER, concat('[', n, ']'), n - 1 FROM lines WHERE NOT grows
+      UNION ALL SELECT doc_id, CAST(3 + {_LEN} + 3 AS INTEGER), concat('[', n + d, ']'), n - 1 + d FROM lines WHERE NOT grows)
     SELECT s.doc_id, s.start, CAST(s.start + length(s.text) AS INTEGER) AS "end", s.text, CASE WHEN keys.k IS NOT NULL THEN concat('BIBREF', s.k) END AS ref_id
     FROM spans s LEFT JOIN keys ON s.doc_id = keys.doc_id AND s.k = keys.k""",
 )
