@@ -181,7 +181,7 @@ def select_abstract(tokens: DataFrame, container: str = "abstract") -> DataFrame
     texts = texts.where(F.trim("para_text") != "")
     best = F.min("_level").over(W.partitionBy("doc_id"))
     chosen = texts.withColumn("_best", best).where("_level = _best")
-    return number_paragraphs(chosen).select("doc_id", "para_no", F.lit("Abstract").alias("section"), "para_text")
+    return number_paragraphs(chosen).select("doc_id", "pos", "para_no", F.lit("Abstract").alias("section"), "para_text")
 
 
 def leading_paragraphs(tokens: DataFrame, block: str, sectioned: Iterable[str]) -> DataFrame:
@@ -212,7 +212,14 @@ def back_matter(tokens: DataFrame, container: str = "back") -> DataFrame:
         F.min(F.when(F.col("pos") == F.col("_head"), attr(F.col("tok"), "n"))).alias("sec_num"),
     )
     out = number_paragraphs(units.where("para_text <> ''"))
-    return out.select("doc_id", "para_no", F.coalesce("_title", "_type").alias("section"), "sec_num", "para_text")
+    return out.select("doc_id", "pos", "para_no", F.coalesce("_title", "_type").alias("section"), "sec_num", "para_text")
+
+
+def back_units(tokens: DataFrame) -> DataFrame:
+    """Tokens of the back part in which each inner division stands on its own,
+    without the division around it and without heads."""
+    levelled = nest_level(within(tokens, _head="head").where("_head is null").drop("_head"), ["div"])
+    return levelled.where("nest > 1").drop("nest")
 
 
 def section_names(tokens: DataFrame, tags: Iterable[str], limit: int = 50) -> DataFrame:

@@ -230,7 +230,7 @@ def b12_abstract(spark, sf_dir):
     forms = [text("<div><head>H</head><p>Para {p}</p></div>"), text("<div>Para {p}</div>"), text("<p>Para {p}</p>"), text("Para {p}")]
     line = F.element_at(F.array(*forms), (F.col("k") + 1).cast("int"))
     docs = papers_from(rows.join(shape, "doc_id"), "<TEI><abstract>", line, "</abstract><body><p>No</p></body></TEI>")
-    return S.select_abstract(tokens_of(docs))
+    return S.select_abstract(tokens_of(docs)).drop("pos")
 
 
 @query(
@@ -253,7 +253,7 @@ def b13_back_matter(spark, sf_dir):
     head = F.when(F.col("p") % 2 == 0, text('<head n="{n}">Thanks {n}</head>')).otherwise("")
     line = text('<div type="annex"><div>', head, "<p>To {q} all.</p></div></div>")
     docs = papers_from(cites(spark, sf_dir), "<text><body><div><div><p>No</p></div></div></body><back>", line, "</back></text>")
-    return S.back_matter(tokens_of(docs))
+    return S.back_matter(tokens_of(docs)).drop("pos")
 
 
 @query(

@@ -160,7 +160,8 @@ def a11_manifest(spark, sf_dir):
 def e1_assemble(spark, sf_dir):
     line = text('<p>Uses <ref type="bibr" target="#b{n}">[{n}]</ref>.</p>')
     bib = F.when(F.col("p") % 4 != 0, text('<biblStruct xml:id="b{n}"><title>T{p}</title></biblStruct>')).otherwise("")
-    tokens = tokens_of(papers_from(cites(spark, sf_dir), "<TEI><body>", line, "</body><back><listBibl>", bib, "</listBibl></back></TEI>"))
+    docs = papers_from(cites(spark, sf_dir), "<TEI><body>", line, "</body><back><listBibl>", bib, "</listBibl></back></TEI>")
+    tokens = tokens_of(docs)
     bibs = tei_bibliography(tokens).select("doc_id", C.tei_key(F.col("bib_id")).alias("key"), "pos", "title", "year", "venue")
     laid = C.cited_paragraphs(C.linked_pieces(C.paragraph_pieces(tokens), bibs)).withColumnRenamed("para_pos", "pos")
     numbered = S.number_paragraphs(laid).withColumn("part", F.lit("body_text"))
@@ -169,7 +170,7 @@ def e1_assemble(spark, sf_dir):
     paras = numbered.select(
         "doc_id", "part", "para_no", F.lit("Body").alias("section"), F.lit(None).cast("string").alias("sec_num"), "para_text", only("cite").alias("cite_spans"), only("ref").alias("ref_spans")
     )
-    meta = tokens.select("doc_id").distinct().withColumn("title", text("Order {doc_id}"))
+    meta = docs.select("doc_id", text("Order {doc_id}").alias("title"))
     papers = P.assemble(meta, paras, bibs=bibs)
     cite = lambda p: F.array_join(F.transform(p["cite_spans"], lambda s: F.concat_ws("-", s["start"], s["end"], F.coalesce(s["ref_id"], F.lit("none")))), "|")
     entries = F.transform(F.map_entries("bib_entries"), lambda e: F.concat(e["key"], F.lit("="), e["value"]["title"]))

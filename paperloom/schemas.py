@@ -24,10 +24,7 @@ PARSE = (
     f"struct<_pdf_hash:string,metadata:{METADATA},abstract:array<{PARAGRAPH}>,body_text:array<{PARAGRAPH}>,back_matter:array<{PARAGRAPH}>,"
     f"bib_entries:map<string,{BIB_ENTRY}>,ref_entries:map<string,{REF_ENTRY}>>"
 )
-# Names of the release layouts' payload and hash fields.
-PAYLOADS = ["grobid_parse", "pdf_parse"]
-HASHES = ["_pdf_hash", "s2_pdf_hash"]
-
+# Field names of the release layouts.
 PAPER_JSON_DDL = (
     f"paper_id string, _pdf_hash string, s2_pdf_hash string, metadata {METADATA}, grobid_parse {PARSE}, pdf_parse {PARSE}, "
     f"title string, authors array<{AUTHOR}>, year string, venue string, identifiers map<string,string>, "

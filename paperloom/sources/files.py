@@ -37,6 +37,12 @@ def scan_xml(spark: SparkSession, path: str) -> DataFrame:
     return text.select(F.regexp_replace(F.element_at(F.split("_path", "/"), -1), r"\.[^.]+$", "").alias("doc_id"), F.col("value").alias("xml"))
 
 
+def scan_xml_rows(spark: SparkSession, path: str, row_tag: str, schema: str) -> DataFrame:
+    """A2: one row per element of one name, with the given fields; rows that do
+    not fit keep their text in ``_corrupt_record`` when the schema has it."""
+    return spark.read.format("xml").option("rowTag", row_tag).option("mode", "PERMISSIVE").schema(schema).load(path)
+
+
 def well_formed(xml: Column) -> Column:
     """A2: whether the markup parses; malformed text never fails the job."""
     schema = "_ok string, _bad string"

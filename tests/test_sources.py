@@ -27,6 +27,12 @@ def test_scan_xml_and_well_formed(spark, tmp_path):
     assert rows(got, "doc_id", "ok") == [("bad", False), ("good", True)]
 
 
+def test_scan_xml_rows(spark, tmp_path):
+    (tmp_path / "a.xml").write_text('<r><bib id="1"><title>A</title></bib><bib id="2"><title>B</title></bib></r>')
+    got = files.scan_xml_rows(spark, str(tmp_path / "a.xml"), "bib", "_id string, title string")
+    assert rows(got) == [("1", "A"), ("2", "B")]
+
+
 def test_decode(spark):
     df = spark.createDataFrame([(1, "é".encode()), (2, "é".encode("latin-1")), (3, None)], "id long, b binary")
     assert rows(df.select("id", files.decode_text(F.col("b")).alias("t"))) == [(1, "é"), (2, "é"), (3, "")]
