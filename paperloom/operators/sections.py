@@ -43,7 +43,8 @@ def sectioned_paragraphs(
     A section is named by the text of the first ``head`` directly inside it and
     numbered by an attribute of that head (``head_num``) or of its own (``num``).
     ``section`` joins the names from the root down, ``sec_num`` is the number of
-    the innermost named one, ``sec_id`` the id of the innermost. With ``carry``
+    the innermost named one, ``sec_id`` the id of the innermost, ``tag`` that of
+    the paragraph element. With ``carry``
     a paragraph outside every section stays with the last top-level one.
 
     One pass brings tokens down to units (sections, heads, paragraphs). Then
@@ -58,6 +59,7 @@ def sectioned_paragraphs(
     none = F.lit(None).cast("string")
     units = marked.withColumn("_unit", unit).where("_unit is not null").groupBy("doc_id", F.col("_unit").alias("pos")).agg(
         F.min(F.when(at_start, F.when(F.col("_p").isNotNull(), "para").when(F.col("_h").isNotNull(), "head").otherwise("sec"))).alias("what"),
+        F.min(F.when(at_start, F.col("tag"))).alias("tag"),
         F.min(F.when(at_start, F.col("nest"))).alias("nest"),
         F.min(F.when(at_start, F.col("depth"))).alias("depth"),
         ordered_concat(F.col("pos"), F.col("text")).alias("text"),
@@ -80,17 +82,18 @@ def sectioned_paragraphs(
     named = named.withColumn("_seat", F.when(sec_row, F.struct(F.coalesce("_num", "_head._head_num").alias("num"), name.alias("name"), "sec_id")))
     top = F.greatest("nest", F.lit(1)) if carry else F.col("nest")
     steps = named.select(
-        "doc_id", "pos", "nest", "what", "text", "_seat", F.explode_outer(F.when(top > 0, F.sequence(F.lit(1), top))).alias("_lvl")
+        "doc_id", "pos", "nest", "what", "tag", "text", "_seat", F.explode_outer(F.when(top > 0, F.sequence(F.lit(1), top))).alias("_lvl")
     )
     seat = F.last(F.when(F.col("_lvl") == F.col("nest"), F.col("_seat")), ignorenulls=True)
     upto = W.partitionBy("doc_id", "_lvl").orderBy("pos").rowsBetween(W.unboundedPreceding, 0)
     found = steps.withColumn("_at", seat.over(upto)).where("what = 'para'")
     paths = found.groupBy("doc_id", "pos").agg(
         F.first("text").alias("text"),
+        F.first("tag").alias("tag"),
         ordered_list(F.col("_lvl"), F.when(F.col("_at.name").isNotNull(), F.struct("_at.num", "_at.name"))).alias("path"),
         F.max_by("_at.sec_id", "_lvl").alias("sec_id"),
     )
-    out = paths.select("doc_id", "pos", "sec_id", "path", *[c.alias(n) for n, c in path_columns().items()], normalise(F.col("text")).alias("para_text"))
+    out = paths.select("doc_id", "pos", "tag", "sec_id", "path", *[c.alias(n) for n, c in path_columns().items()], normalise(F.col("text")).alias("para_text"))
     return out.where(F.trim("para_text") != "")
 
 
