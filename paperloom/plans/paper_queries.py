@@ -115,7 +115,7 @@ def e8_reading_order(spark, sf_dir):
 @query("a7_text_sink", f"SELECT regexp_replace(line, '[\\r\\n]+', ' ', 'g') AS line FROM ({_READING})")
 def a7_text_sink(spark, sf_dir):
     path = work_path(spark, "text-sink")
-    K.write_text(P.reading_order(*_turns(spark, sf_dir)), path, buckets=8)
+    K.write_text(P.reading_order(*_turns(spark, sf_dir)), path)
     return spark.read.text(path).withColumnRenamed("value", "line")
 
 

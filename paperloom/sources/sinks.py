@@ -22,11 +22,13 @@ def read_csv(spark, path: str) -> DataFrame:
     return spark.read.schema(schema).option("header", True).option("escape", '"').option("multiLine", True).csv(path)
 
 
-def write_text(lines: DataFrame, path: str, buckets: int = 64, mode: str = "overwrite") -> None:
-    """Rendered lines, those of one document together and in order. Files
-    are split by a hash of the document; lines are placed by range of document
-    and line number, so one very long document spreads over several files."""
-    placed = lines.repartitionByRange(buckets, "doc_id", "line_no").sortWithinPartitions("doc_id", "line_no")
+def write_text(lines: DataFrame, path: str, buckets: int | None = None, mode: str = "overwrite") -> None:
+    """Rendered lines in order of document and line over the sequence of
+    files. They are placed by range, so one very long document spreads over
+    several files. Without ``buckets`` Spark sizes the ranges."""
+    order = ["doc_id", "line_no"]
+    placed = lines.repartitionByRange(buckets, *order) if buckets else lines.repartitionByRange(*order)
+    placed = placed.sortWithinPartitions(*order)
     placed.select(F.regexp_replace("line", r"[\r\n]+", " ").alias("value")).write.mode(mode).text(path)
 
 
