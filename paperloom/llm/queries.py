@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperloom.llm import ngram_join
+from paperloom.llm import bpe, line_rules, ngram_join, quality_model
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -53,3 +53,61 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-copy components of documents at 3-word shingles and a similarity of 0.9."""
     found = ngram_join.jaccard_components(table(spark, sf_dir, "documents"), n=3, percent=90)
     return found.withColumnRenamed("id", "doc_id")
+
+
+def word_bpe_path() -> str:
+    """The tokenizer file, as its package names it; installed alike on every executor."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query("op8_bpe_stream")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts and digests of every document's ids and decoded text."""
+    return bpe.encode_digests(table(spark, sf_dir, "documents"), word_bpe_path()).withColumnRenamed("id", "doc_id")
+
+
+OP6 = rf"""
+WITH t AS (
+  SELECT doc_id, coalesce(source, '') AS host, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+l AS (SELECT doc_id, host, unnest(string_split(text, chr(10))) AS line FROM t),
+m AS (SELECT doc_id, host, line, regexp_extract_all(regexp_replace({LOWER.format("line")}, '[0-9]', '0', 'g'), '[^\x20\x09-\x0D]+') AS ws FROM l),
+filled AS (SELECT doc_id, host, line, array_to_string(ws, ' ') AS norm, len(ws) AS n FROM m WHERE len(ws) > 0),
+dup AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines FROM filled GROUP BY doc_id),
+common AS (SELECT host, norm FROM filled GROUP BY host, norm HAVING count(DISTINCT doc_id) > 20),
+gone AS (SELECT doc_id, sum(n) AS gone FROM filled JOIN common USING (host, norm) GROUP BY doc_id),
+g AS (SELECT doc_id, unnest(range(1, len(ws) - 6)) AS i, ws FROM t WHERE len(ws) >= 8),
+h AS (SELECT doc_id, i, array_to_string(ws[i:i + 7], ' ') AS gram FROM g),
+again AS (SELECT doc_id, gram FROM h GROUP BY doc_id, gram HAVING count(*) > 1),
+spot AS (SELECT DISTINCT doc_id, unnest(range(i, i + 8)) AS p FROM h JOIN again USING (doc_id, gram)),
+rep AS (SELECT doc_id, count(*) AS n_repeat_words FROM spot GROUP BY doc_id),
+b AS (
+  SELECT t.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars,
+    CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+    coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(gone, 0) AS gone
+  FROM t LEFT JOIN dup USING (doc_id) LEFT JOIN rep USING (doc_id) LEFT JOIN gone USING (doc_id)),
+f AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM b)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND 100 * (n_words - gone) >= 30 * n_words AS kept FROM f
+"""
+
+
+@query("op6_line_rules", OP6)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measures and verdict of every document; its source stands for its host."""
+    rows = line_rules.line_rules(table(spark, sf_dir, "documents"))
+    return rows.select(F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def held_out(id_col: str = "doc_id"):
+    return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 4 == 2, F.lit(False))
+
+
+@query("op7_quality_ftrl")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learned from labels outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents")
+    weights = quality_model.train(docs, table(spark, sf_dir, "labels"), learnable=~held_out())
+    rows = quality_model.score(docs, weights).withColumnRenamed("id", "doc_id")
+    return rows.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
