@@ -243,7 +243,7 @@ def _edges(out: list[tuple[int, int]]) -> pa.RecordBatch:
 
 def _solved(work: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links of the units ``top, chunk, id, label, side``."""
-    rows = work.join(sets, "id").select("top", "chunk", "id", "label", "side", "tokens")
+    rows = work.join(sets.hint("merge"), "id").select("top", "chunk", "id", "label", "side", "tokens")
     rows = rows.repartition("top", "chunk").sortWithinPartitions("top", "chunk", "side", "id")
     return rows.mapInArrow(_walk(percent), "a long, b long")
 
@@ -264,9 +264,10 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     copies = written(full.groupBy("f1", "f2", "n").agg(F.min("id").alias("leader")), "classes")
     lead = copies.groupBy("leader").agg(F.max("n").alias("n"))
     # Top nodes with more than one set, each named by its smallest member.
-    keys = full.join(lead.select(F.col("leader").alias("id")), "id", "left_semi").select("id", F.explode("keys").alias("key"))
+    # Merge joins at every size: the plan must not depend on how small a test is.
+    keys = full.join(lead.select(F.col("leader").alias("id")).hint("merge"), "id", "left_semi").select("id", F.explode("keys").alias("key"))
     shared = keys.groupBy("key").agg(F.min("id").alias("top"), F.max("id").alias("last")).where("top < last").select("key", "top")
-    cells = written(keys.join(shared, "key").where("id <> top").select("top", "id").distinct(), "cells")
+    cells = written(keys.join(shared.hint("merge"), "key").where("id <> top").select("top", "id").distinct(), "cells")
     sizes = cells.join(lead.withColumnRenamed("leader", "id"), "id")
     load = sizes.groupBy("top").agg(F.ceil(F.sum("n") / CHUNK_TOKENS).cast("int").alias("chunks"))
     dealt = cells.join(load, "top").withColumn("chunk", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int"))
@@ -274,9 +275,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     heads = chunks.select("top", "chunk", F.col("top").alias("id"), "chunks").distinct()
     members = chunks.union(heads).select("top", "chunk", "id", F.col("id").alias("label"), F.lit(-1).alias("side"))
     needed = chunks.select("id").union(chunks.select("top")).distinct()
-    sets = written(source.join(needed, "id", "left_semi").mapInArrow(_sets(n), "id long, tokens binary"), "sets")
+    sets = written(source.join(needed.hint("merge"), "id", "left_semi").mapInArrow(_sets(n), "id long, tokens binary"), "sets")
     # A repeated id with several texts connects the classes of all of them.
-    owned = full.join(copies, ["f1", "f2", "n"]).select("id", "leader")
+    owned = full.join(copies.hint("merge"), ["f1", "f2", "n"]).select("id", "leader")
     twice = owned.groupBy("id").agg(F.min("leader").alias("a"), F.max("leader").alias("z")).where("a < z").select("id", "a")
     repeats = owned.join(twice, "id").select("a", F.col("leader").alias("b"))
     edges = written(_solved(members, sets, percent).union(repeats), "links")
@@ -307,7 +308,7 @@ def _across(wide: DataFrame, sets: DataFrame, lead: DataFrame, percent: int) ->
 def _result(table: DataFrame, copies: DataFrame, found: DataFrame) -> DataFrame:
     of = copies.join(found.withColumnRenamed("node", "leader"), "leader", "left")
     of = written(of.select("f1", "f2", "n", F.coalesce("component", "leader").alias("component_id")), "components")
-    rows = table.select("id", "n", "f1", "f2").join(of, ["f1", "f2", "n"], "left")
+    rows = table.select("id", "n", "f1", "f2").join(of.hint("merge"), ["f1", "f2", "n"], "left")
     label = F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id"))
     return rows.select("id", F.col("n").alias("n_shingles"), label.alias("component_id"))
 
