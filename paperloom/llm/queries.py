@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperloom.llm import bpe, line_rules, ngram_join, quality_model
+from paperloom.llm import bpe, line_rules, ngram_join, quality_model, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -111,3 +111,20 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     weights = quality_model.train(docs, table(spark, sf_dir, "labels"), learnable=~held_out())
     rows = quality_model.score(docs, weights).withColumnRenamed("id", "doc_id")
     return rows.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+OP10 = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings),
+p AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(CAST(q.e AS DOUBLE[]), CAST(c.e AS DOUBLE[])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM p) WHERE rank <= 20
+"""
+
+
+@query("op10_norm_sorted_topk", OP10)
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 highest inner products of every twentieth vector against all others."""
+    found = topk.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+    return found.withColumnRenamed("id", "vec_id")
