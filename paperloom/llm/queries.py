@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperloom.llm import bpe, line_rules, ngram_join, quality_model, topk
+from paperloom.llm import bpe, line_rules, ngram_join, quality_model, topk, url_templates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -128,3 +128,20 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 highest inner products of every twentieth vector against all others."""
     found = topk.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
     return found.withColumnRenamed("id", "vec_id")
+
+
+#: Fixed rules of the url query.
+URL_RULES = [
+    ("allow", "com", "/"),
+    ("block", "example.com", "/en/"),
+    ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"),
+    ("block", "net", "/fr/"),
+]
+
+
+@query("op3_url_templates")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule and verdict of every page's url."""
+    found = url_templates.url_verdicts(table(spark, sf_dir, "pages"), URL_RULES)
+    return found.withColumnRenamed("id", "page_id")
