@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperloom.llm import bpe, line_rules, ngram_join, quality_model, topk, url_templates
+from paperloom.llm import bpe, license_scan, line_rules, ngram_join, quality_model, topk, url_templates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -145,3 +145,34 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule and verdict of every page's url."""
     found = url_templates.url_verdicts(table(spark, sf_dir, "pages"), URL_RULES)
     return found.withColumnRenamed("id", "page_id")
+
+
+def _op4_sql() -> str:
+    spots, blocks = [], []
+    for phrase, label in license_scan.PHRASES:
+        size = len(phrase.split(" "))
+        spots.append(f"SELECT doc_id, '{label}' AS label, unnest(list_filter(range(1, len(ws) + 1), lambda i: array_to_string(ws[i:i + {size - 1}], ' ') = '{phrase}')) - 1 AS p FROM w")
+    for label, text in license_scan.TEMPLATES:
+        words = sorted(set(text.split(" ")))
+        c = license_scan.needed(len(words), license_scan.CONTAINMENT)
+        blocks.append(f"SELECT doc_id, '{label}' AS label, len(list_intersect(ws, {words!r})) / {len(words)}::DOUBLE AS s FROM l WHERE len(list_intersect(ws, {words!r})) >= {c}")
+    pattern = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+    return f"""
+WITH t AS (SELECT doc_id, {LOWER.format("coalesce(text, '')")} AS text FROM documents),
+w AS (SELECT doc_id, regexp_extract_all(text, '{pattern}') AS ws FROM t),
+l AS (SELECT doc_id, regexp_extract_all(line, '{pattern}') AS ws FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM t)),
+spots AS ({" UNION ALL ".join(spots)}),
+blocks AS ({" UNION ALL ".join(blocks)}),
+b AS (SELECT doc_id, count(*) AS n_base, min(p) AS first_word, max(p) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM spots GROUP BY doc_id),
+a AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM (SELECT doc_id, label FROM spots UNION SELECT doc_id, label FROM blocks) GROUP BY doc_id),
+s AS (SELECT doc_id, max(s) AS s FROM blocks GROUP BY doc_id)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+  CASE WHEN n_base > 0 THEN 1.0::DOUBLE ELSE coalesce(s, 0.0::DOUBLE) END AS score
+FROM w LEFT JOIN b USING (doc_id) LEFT JOIN a USING (doc_id) LEFT JOIN s USING (doc_id)
+"""
+
+
+@query("op4_license_scan", _op4_sql())
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and template blocks of every document."""
+    return license_scan.license_scan(table(spark, sf_dir, "documents"))[0].withColumnRenamed("id", "doc_id")
