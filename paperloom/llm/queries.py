@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperloom.llm import bpe, license_scan, line_rules, ngram_join, quality_model, topk, url_templates
+from paperloom.llm import bpe, license_scan, line_rules, ngram_join, quality_model, tool_calls, topk, url_templates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -176,3 +176,43 @@ FROM w LEFT JOIN b USING (doc_id) LEFT JOIN a USING (doc_id) LEFT JOIN s USING (
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License phrases and template blocks of every document."""
     return license_scan.license_scan(table(spark, sf_dir, "documents"))[0].withColumnRenamed("id", "doc_id")
+
+
+#: The tool that the chat query sees in each question.
+CHAT_SCHEMAS = {"reply": {"prompt": ("string", True), "chars": ("integer", True), "opening": ("boolean", False)}}
+
+OP9 = """
+WITH m AS (
+  SELECT conv_id, turn, role, text, CASE role WHEN 'user' THEN 'call' WHEN 'assistant' THEN 'result' ELSE 'message' END AS kind,
+    CASE role WHEN 'user' THEN conv_id || ':' || turn WHEN 'assistant' THEN conv_id || ':' || (turn - 1) END AS call_id FROM conversations),
+j AS (
+  SELECT conv_id, turn, kind, call_id,
+    CASE kind
+      WHEN 'call' THEN '{"role":"assistant","tool_calls":[{"arguments":{"chars":' || length(text) || CASE WHEN turn < 4 THEN ',"opening":' || (turn = 0) ELSE ',"opening":' || turn END
+        || ',"prompt":' || to_json(text) || '},"id":"' || call_id || '","name":"reply"}]}'
+      WHEN 'result' THEN '{"content":' || to_json(text) || ',"role":"tool","tool_call_id":"' || call_id || '"}'
+      ELSE '{"content":' || to_json(text) || ',"role":"' || role || '"}' END AS json,
+    CASE WHEN kind = 'call' AND turn >= 4 THEN 'opening: not boolean' ELSE '' END AS faults FROM m)
+SELECT a.conv_id, a.turn, a.kind, a.call_id, coalesce(b.call_id IS NOT NULL AND a.kind <> b.kind, false) AS linked, a.faults,
+  row_number() OVER (PARTITION BY a.conv_id ORDER BY a.turn) - 1 AS position, a.json
+FROM j a LEFT JOIN j b ON a.conv_id = b.conv_id AND a.call_id = b.call_id AND a.kind <> b.kind
+"""
+
+
+def question_calls(conversations: DataFrame) -> DataFrame:
+    """Conversations with each question as a tool call and each answer as the result of the turn before."""
+    conv, turn = F.col("conv_id").cast("string"), F.col("turn")
+    opening = lambda c: F.struct(F.col("text").alias("prompt"), F.length("text").alias("chars"), c.alias("opening"))
+    of = lambda c: F.to_json(F.struct(F.array(F.struct(F.concat(conv, F.lit(":"), turn).alias("id"), F.lit("reply").alias("name"), opening(c).alias("arguments"))).alias("tool_calls")))
+    call = F.when(turn < 4, of(turn == 0)).otherwise(of(turn))
+    result = F.to_json(F.struct(F.concat(conv, F.lit(":"), turn - 1).alias("tool_call_id"), F.col("text").alias("content")))
+    role = F.when(F.col("role") == "user", "assistant").when(F.col("role") == "assistant", "tool").otherwise(F.col("role"))
+    text = F.when(F.col("role") == "user", call).when(F.col("role") == "assistant", result).otherwise(F.col("text"))
+    return conversations.select("conv_id", "turn", role.alias("role"), text.alias("text"))
+
+
+@query("op9_tool_calls", OP9)
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Linked, checked and serialised messages of every conversation, questions seen as tool calls."""
+    rows = tool_calls.link_tool_calls(question_calls(table(spark, sf_dir, "conversations")), CHAT_SCHEMAS)
+    return rows.select("conv_id", "turn", "kind", "call_id", "linked", F.array_join("faults", "; ").alias("faults"), "position", "json")
