@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperloom.llm import bpe, license_scan, line_rules, ngram_join, quality_model, tool_calls, topk, url_templates
+from paperloom.llm import bpe, chaining, license_scan, line_rules, mixing, ngram_join, quality_model, tool_calls, topk, url_templates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -216,3 +216,61 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Linked, checked and serialised messages of every conversation, questions seen as tool calls."""
     rows = tool_calls.link_tool_calls(question_calls(table(spark, sf_dir, "conversations")), CHAT_SCHEMAS)
     return rows.select("conv_id", "turn", "kind", "call_id", "linked", F.array_join("faults", "; ").alias("faults"), "position", "json")
+
+
+#: Domains of the sources and the weights of the mix.
+DOMAIN = "CASE WHEN source = 'src0' THEN 'web' WHEN length(source) = 4 THEN 'reference' ELSE 'forum' END"
+WEIGHTS = {
+    "domain": "CASE domain WHEN 'web' THEN 40 WHEN 'reference' THEN 35 ELSE 25 END",
+    "lang": "CASE lang WHEN 'en' THEN 60 WHEN 'de' THEN 15 WHEN 'fr' THEN 15 ELSE 10 END",
+    "source": "1",
+}
+
+
+def _fill_sql(depth: int) -> str:
+    keys = mixing.LEAF[:depth]
+    parent, name = keys[:-1], keys[-1]
+    part = f"PARTITION BY {', '.join(parent)}" if parent else ""
+    given = f"JOIN a{depth - 1} g USING ({', '.join(parent)})" if parent else "CROSS JOIN a0 g"
+    cols = ", ".join(f"n.{k}" for k in keys)
+    return f"""
+n{depth} AS (SELECT {", ".join(keys)}, CAST(sum(2 * tokens) AS BIGINT) AS cap, {WEIGHTS[name]} AS weight FROM leaves GROUP BY ALL),
+r{depth} AS (SELECT {cols}, n.cap, n.weight, g.amount AS budget, n.cap / n.weight AS ratio FROM n{depth} n {given}),
+l{depth} AS (SELECT *, row_number() OVER ({part} ORDER BY ratio, {name}) AS turn,
+    (budget - coalesce(sum(cap) OVER ({part} ORDER BY ratio, {name} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+    / sum(weight) OVER ({part} ORDER BY ratio, {name} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM r{depth}),
+m{depth} AS (SELECT *, arg_min(CASE WHEN ratio > level THEN level END, CASE WHEN ratio > level THEN turn END) OVER ({part}) AS set_level FROM l{depth}),
+a{depth} AS (SELECT {", ".join(keys)}, CASE WHEN set_level IS NULL THEN cap::DOUBLE ELSE least(cap::DOUBLE, set_level * weight) END AS amount FROM m{depth})"""
+
+
+OP5 = rf"""
+WITH d AS (
+  SELECT doc_id, {DOMAIN} AS domain, lang, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS tokens FROM documents),
+leaves AS (SELECT domain, lang, source, CAST(sum(tokens) AS BIGINT) AS tokens FROM d WHERE tokens > 0 GROUP BY ALL),
+a0 AS (SELECT floor(sum(tokens) * 100 / 100)::DOUBLE AS amount FROM leaves),
+{_fill_sql(1)},{_fill_sql(2)},{_fill_sql(3)},
+b AS (SELECT domain, lang, source, tokens AS size, CAST(floor(amount + 1e-6) AS BIGINT) AS budget FROM leaves JOIN a3 USING (domain, lang, source)),
+w AS (SELECT *, CAST(floor(budget / size) AS BIGINT) AS whole FROM b),
+h AS (SELECT d.*, whole, budget - whole * size AS rest, budget, ('0x' || substr(md5('1/' || whole || '/' || doc_id), 1, 15))::BIGINT AS h FROM d JOIN w USING (domain, lang, source)),
+c AS (SELECT *, sum(tokens) OVER (PARTITION BY domain, lang, source ORDER BY h, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run FROM h)
+SELECT doc_id, domain, lang, source, tokens, CAST(CASE WHEN tokens = 0 THEN (budget > 0)::INT ELSE whole + (rest > 0 AND run <= rest)::INT END AS INTEGER) AS copies FROM c
+WHERE copies > 0
+"""
+
+
+def mixed(docs: DataFrame) -> DataFrame:
+    return mixing.mix(docs, F.expr(DOMAIN), {k: F.expr(v) for k, v in WEIGHTS.items()})
+
+
+@query("op5_source_mix", OP5)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of a mix as large as the corpus, with the copies that each contributes."""
+    rows = mixed(table(spark, sf_dir, "documents")).where("_copies > 0")
+    return rows.select("doc_id", F.expr(DOMAIN).alias("domain"), "lang", "source", mixing.words_of(F.col("text")).alias("tokens"), F.col("_copies").alias("copies"))
+
+
+@query("op2_chained_passages")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of 50 words or more that repeat one of a document with a smaller id."""
+    found = chaining.repeated_passages(table(spark, sf_dir, "documents"))
+    return found.withColumnRenamed("id", "doc_id").withColumnRenamed("other_id", "other_doc_id")
