@@ -57,17 +57,29 @@ def _features(data: np.ndarray, offsets: np.ndarray) -> list[tuple[np.ndarray, n
     return out
 
 
+def _scored(weights: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    total = np.full(len(offsets) - 1, float(weights[BIAS]))
+    for buckets, (a, b) in _features(data, offsets):
+        sums = np.concatenate([[0.0], np.cumsum(weights[buckets], dtype=np.float64)])
+        a, b = np.minimum(a, len(buckets)), np.minimum(b, len(buckets))
+        total += SCALE * (sums[b] - sums[a]) / np.maximum(b - a, 1)
+    return 1 / (1 + np.exp(-np.clip(total, -30, 30)))
+
+
 def _scores(weights: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, data, offsets in pieces(batch.column(1)):
-                total = np.full(hi - lo, float(weights[BIAS]))
-                for buckets, (a, b) in _features(data, offsets):
-                    sums = np.concatenate([[0.0], np.cumsum(weights[buckets], dtype=np.float64)])
-                    a, b = np.minimum(a, len(buckets)), np.minimum(b, len(buckets))
-                    total += SCALE * (sums[b] - sums[a]) / np.maximum(b - a, 1)
-                score = 1 / (1 + np.exp(-np.clip(total, -30, 30)))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(score)], names=["id", "score"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(_scored(weights, data, offsets))], names=["id", "score"])
+
+    return run
+
+
+def _filter(weights: np.ndarray, text: str, least: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi, data, offsets in pieces(batch.column(text)):
+                yield batch.slice(lo, hi - lo).filter(pa.array(_scored(weights, data, offsets) >= least))
 
     return run
 
@@ -139,3 +151,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 def score(docs: DataFrame, weights: np.ndarray, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id, score`` per row; a null or empty text scores by the bias alone."""
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(_scores(weights), "id long, score double")
+
+
+def keep_good(docs: DataFrame, weights: np.ndarray, text_col: str = "text", least: float = 0.7) -> DataFrame:
+    """Rows of ``docs`` that score ``least`` or more, with all their columns; no row moves."""
+    return docs.mapInArrow(_filter(weights, text_col, least), docs.schema)
