@@ -255,30 +255,38 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     return merged.where(F.col("end") - F.col("start") >= least).select("id", "start", "end", (-F.col("o.col2")).alias("other_id"))
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        texts = batch.column("text").to_pylist()
-        spans = batch.column("spans").to_pylist()
-        for i, (text, gone) in enumerate(zip(texts, spans)):
-            if not gone or not text:
-                continue
-            raw = np.frombuffer(text.encode("utf-8"), np.uint8)
-            w = words(raw, np.array([0, len(raw)]))
-            out, last = [], 0
-            for s in sorted(gone, key=lambda s: s["start"]):
-                if s["end"] > len(w.start):
+SPANS = "__passage_spans"
+
+
+def _cut(text_col: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(text_col).to_pylist()
+            for i, (text, gone) in enumerate(zip(texts, batch.column(SPANS).to_pylist())):
+                if not gone or not text:
                     continue
-                out.append(raw[last : w.start[s["start"]]].tobytes())
-                last = w.end[s["end"] - 1]
-            out.append(raw[last:].tobytes())
-            texts[i] = b"".join(out).decode("utf-8")
-        at = batch.schema.get_field_index("text")
-        kept = batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
-        yield kept.drop_columns(["spans"])
-
-
-def drop_passages(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """``docs`` with the repeated passages cut out of ``text``; all rows and columns stay."""
-    gone = spans.groupBy(F.col("id").alias(id_col)).agg(F.collect_list(F.struct("start", "end")).alias("spans"))
-    rows = docs.join(gone, id_col, "left").select(*docs.columns, "spans")
-    return rows.mapInArrow(_cut, docs.schema)
+                raw = np.frombuffer(text.encode("utf-8"), np.uint8)
+                w = words(raw, np.array([0, len(raw)]))
+                out, last = [], 0
+                for s in sorted(gone, key=lambda s: s["start"]):
+                    if s["end"] > len(w.start):
+                        continue
+                    out.append(raw[last : w.start[s["start"]]].tobytes())
+                    last = w.end[s["end"] - 1]
+                out.append(raw[last:].tobytes())
+                texts[i] = b"".join(out).decode("utf-8")
+            at = batch.schema.get_field_index(text_col)
+            kept = batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
+            yield kept.drop_columns([SPANS])
+
+    return run
+
+
+def drop_passages(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with the repeated passages cut out of their texts; all rows and columns stay.
+
+    Of rows that share an id each loses the spans that lie within its text.
+    """
+    gone = spans.groupBy(F.col("id").alias(id_col)).agg(F.collect_list(F.struct("start", "end")).alias(SPANS))
+    rows = docs.join(gone, id_col, "left").select(*docs.columns, SPANS)
+    return rows.mapInArrow(_cut(text_col), docs.schema)

@@ -105,12 +105,12 @@ def mix(docs: DataFrame, domain: Column, weight_of: dict[str, Column], percent:
     leaves = written(budgets(leaves, weight_of, percent, epochs), "mix-budgets")
     # One row per leaf; Spark broadcasts it where it is small enough.
     cuts = written(_cuts(rows.where("tokens > 0"), leaves, seed), "mix-cuts")
-    cuts = cuts.select(*[F.col(c).alias("_" + c) for c in (*LEAF, "whole", "budget", "last")])
-    same = (named[0] == F.col("_domain")) & (named[1] == F.col("_lang")) & (named[2] == F.col("_source"))
+    cuts = cuts.select(*[F.col(c).alias("__" + c) for c in (*LEAF, "whole", "budget", "last")])
+    same = (named[0] == F.col("__domain")) & (named[1] == F.col("__lang")) & (named[2] == F.col("__source"))
     key = F.coalesce(docs[id_col].cast("long"), F.lit(-(2**63)))
-    h = order_hash(seed, F.col("_whole"), key)
-    extra = F.coalesce((F.struct(h.alias("h"), key.alias("id")) <= F.col("_last")).cast("int"), F.lit(0))
-    copies = F.when(words_of(docs[text_col]) > 0, F.col("_whole") + extra).otherwise((F.col("_budget") > 0).cast("int"))
+    h = order_hash(seed, F.col("__whole"), key)
+    extra = F.coalesce((F.struct(h.alias("h"), key.alias("id")) <= F.col("__last")).cast("int"), F.lit(0))
+    copies = F.when(words_of(docs[text_col]) > 0, F.col("__whole") + extra).otherwise((F.col("__budget") > 0).cast("int"))
     return docs.join(cuts, same, "left").select(*[docs[c] for c in docs.columns], F.coalesce(copies, F.lit(0)).alias("_copies"))
 
 

@@ -323,5 +323,5 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     gone = found.where("component_id < id").select(F.col("id").alias(id_col)).distinct()
     left = docs.join(gone, id_col, "left_anti").select(docs.columns)
     turn = F.row_number().over(W.partitionBy(id_col).orderBy(text_col))
-    known = left.where(F.col(id_col).isNotNull()).withColumn("_turn", turn).where("_turn = 1").drop("_turn")
+    known = left.where(F.col(id_col).isNotNull()).withColumn("__turn", turn).where("__turn = 1").drop("__turn")
     return known.union(docs.where(F.col(id_col).isNull()))
