@@ -151,19 +151,21 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_
     queries = queries.select("id", "v", "norm", F.pmod(F.xxhash64("id"), F.lit(tiles)).cast("int").alias("tile"))
 
     def meet(asked: DataFrame, held: DataFrame) -> DataFrame:
-        """asked: block, tile, id, floor, v; held: block, id, v, norm."""
-        wanted = asked.select("block", "tile").distinct()
+        """asked: block, tile, id, floor, v; held: block, tile, id, v, norm."""
         left = asked.select("block", "tile", F.lit(0).alias("side"), "id", "floor", "v", F.lit(0.0).alias("norm"))
-        right = held.join(wanted, "block").select("block", "tile", F.lit(1).alias("side"), "id", F.lit(0).cast("long").alias("floor"), "v", "norm")
+        right = held.select("block", "tile", F.lit(1).alias("side"), "id", F.lit(0).cast("long").alias("floor"), "v", "norm")
         rows = left.union(right).repartition("block", "tile").sortWithinPartitions("block", "tile", "side", F.col("norm").desc(), "id")
         return rows.select("block", "tile", "side", "id", "floor", "v").mapInArrow(_tiles(turn, k), "query_id long, id long, score long")
 
     least = F.lit(-(2**62)).cast("long")
-    first = written(meet(queries.select(F.lit(0).alias("block"), "tile", "id", least.alias("floor"), "v"), table.where("block = 0")), "first-block")
+    every = F.explode(F.sequence(F.lit(0), F.lit(tiles - 1))).alias("tile")
+    longest_held = table.where("block = 0").select("block", every, "id", "v", "norm")
+    first = written(meet(queries.select(F.lit(0).alias("block"), "tile", "id", least.alias("floor"), "v"), longest_held), "first-block")
     floors = first.groupBy("query_id").agg(F.count("*").alias("c"), F.min("score").alias("s")).where(F.col("c") >= k)
     known = queries.join(floors, queries["id"] == floors["query_id"], "left").withColumn("floor", F.coalesce("s", least))
     reach = F.size(F.filter(steps, lambda m: m * F.sqrt("norm") * (1 + 1e-9) + 1e-6 >= F.col("floor")))
     later = known.withColumn("reach", reach).where("reach > 1").select(F.explode(F.sequence(F.lit(1), F.col("reach") - 1)).alias("block"), "tile", "id", "floor", "v")
-    found = first.union(meet(later, table.where("block > 0")))
+    wanted = later.select("block", "tile").distinct()
+    found = first.union(meet(later, table.where("block > 0").join(wanted, "block")))
     place = F.row_number().over(W.partitionBy("query_id").orderBy(F.col("score").desc(), "id"))
     return found.withColumn("rank", place).where(F.col("rank") <= k).select("query_id", "rank", "id", "score")
