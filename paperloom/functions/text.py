@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The five predefined XML entities plus the no-break space; the
-# ampersand comes last so that "&amp;lt;" yields "&lt;".
+# The five predefined XML entities plus the no-break space.
 ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&nbsp;", " "), ("&amp;", "&")]
 
 
@@ -34,27 +33,23 @@ def _code_point(n: Column) -> Column:
     return F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
 
 
-def _numeric_refs(c: Column) -> Column:
-    """Decode ``&#65;`` and ``&#x41;`` by cutting the text before each of them."""
+def unescape(c: Column) -> Column:
+    """Replace entity references by the characters they stand for, each once:
+    what a reference yields is not read again. ``c`` is used once, so it may be
+    a costly expression."""
 
     def piece(x: Column) -> Column:
         dec = F.regexp_extract(x, r"^&#(\d{1,7});", 1)
         hexa = F.regexp_extract(x, r"^&#[xX]([0-9a-fA-F]{1,6});", 1)
         code = F.coalesce(dec.try_cast("long"), F.conv(blank_to_null(hexa), 16, 10).try_cast("long"))
         valid = code.between(1, 1114111) & ~code.between(55296, 57343)
-        rest = F.regexp_replace(x, r"^&#[^;]*;", "")
-        return F.when(valid, F.concat(_code_point(code), rest)).otherwise(x)
-
-    return F.array_join(F.transform(F.split(c, "(?=&#)"), piece), "")
-
+        rest = F.regexp_replace(x, r"^&[^;]*;", "")
+        out = F.when(valid, F.concat(_code_point(code), rest))
+        for name, char in ENTITIES:
+            out = out.when(x.startswith(name), F.concat(F.lit(char), rest))
+        return F.when(x.startswith("&"), out.otherwise(x)).otherwise(x)
 
-def unescape(c: Column) -> Column:
-    """Replace entity references by the characters they stand for. ``c`` is
-    used once, so it may be a costly expression."""
-    out = _numeric_refs(c)
-    for name, char in ENTITIES:
-        out = F.replace(out, F.lit(name), F.lit(char))
-    return out
+    return F.array_join(F.transform(F.split(c, "(?=&)"), piece), "")
 
 
 def escape(c: Column) -> Column:

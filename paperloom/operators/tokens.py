@@ -22,16 +22,16 @@ from paperloom.functions.text import attr, ordered_concat, unescape
 
 CDATA_RE = r"<!\[CDATA\[[\s\S]*?\]\]>"
 TOKEN_RE = CDATA_RE + r"|<(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')++>|[^<]+"
+NOISE_RE = "(" + CDATA_RE + r")|<!--[\s\S]*?-->|<\?[\s\S]*?\?>|<!(?!\[CDATA\[)[^>\[]*+(?:\[[\s\S]*?\]\s*+)?>"
 TAG_RE = r"^</?\s*([A-Za-z_][\w:.\-]*)"
 SKIPPED_BLOCKS = ("script", "style")
 
 
 def strip_noise(xml: Column, blocks: Iterable[str] = SKIPPED_BLOCKS) -> Column:
-    """Remove comments, instructions and declarations, and (for web pages) raw
-    blocks whose content is not markup."""
-    out = F.regexp_replace(xml, r"<!--[\s\S]*?-->", "")
-    out = F.regexp_replace(out, r"<\?[\s\S]*?\?>", "")
-    out = F.regexp_replace(out, r"<!(?!\[CDATA\[)[^>]*>", "")
+    """Remove comments, instructions and declarations (with an inner subset, if
+    any), and for web pages raw blocks whose content is not markup. One pass, so
+    what stands in a CDATA section stays."""
+    out = F.regexp_replace(xml, NOISE_RE, "$1")
     for tag in blocks:
         out = F.regexp_replace(out, rf"(?is)<{tag}\b[^>]*>.*?</{tag}\s*>", "")
     return out
@@ -82,9 +82,9 @@ def with_depth(tokens: DataFrame, nesting: Iterable[str] | None = None) -> DataF
     return tokens.withColumn("depth", (level + F.when(counted & (F.col("kind") == "open"), 0).otherwise(1)).cast("int"))
 
 
-def tokenise(docs: DataFrame, markup: str = "xml", nesting: Iterable[str] | None = None, placed: bool = False) -> DataFrame:
+def tokenise(docs: DataFrame, markup: str = "xml", nesting: Iterable[str] | None = None, placed: bool = False, blocks: Iterable[str] = SKIPPED_BLOCKS) -> DataFrame:
     """B1: ordered tokens with depth."""
-    return with_depth(raw_tokens(docs, markup, placed=placed), nesting)
+    return with_depth(raw_tokens(docs, markup, blocks, placed), nesting)
 
 
 def within(tokens: DataFrame, **targets: str | tuple[str, ...]) -> DataFrame:

@@ -9,6 +9,7 @@ however many rows one order may have.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from paperloom.functions.text import ordered_concat
@@ -20,30 +21,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def cites(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Citation lines ``doc_id, n, p, q, f``, one per order line."""
-    return (
-        table(spark, sf_dir, "lineitem")
-        .groupBy("l_orderkey", "l_linenumber")
-        .agg(
-            F.min("l_partkey").alias("p"),
-            F.min("l_quantity").cast("int").alias("q"),
-            F.min("l_returnflag").alias("f"),
-        )
-        .select(
-            F.concat_ws(".", "l_orderkey", F.expr("l_linenumber div 8")).alias("doc_id"),
-            F.col("l_linenumber").alias("n"),
-            "p",
-            "q",
-            "f",
-        )
+    """Citation lines ``doc_id, n, p, q, f``, one per row of ``lineitem``. Rows
+    that repeat a line of an order are lines of a further paper."""
+    again = F.row_number().over(W.partitionBy("l_orderkey", "l_linenumber").orderBy("l_partkey", "l_quantity", "l_returnflag")) - 1
+    lines = table(spark, sf_dir, "lineitem").withColumn("n", F.col("l_linenumber") + 8 * again)
+    return lines.select(
+        F.concat_ws(".", "l_orderkey", F.expr("n div 8")).alias("doc_id"),
+        "n",
+        F.col("l_partkey").alias("p"),
+        F.col("l_quantity").cast("int").alias("q"),
+        F.col("l_returnflag").alias("f"),
     )
 
 
 # The same rows for the oracle; ``{CITES}`` is a common table expression.
 CITES = """cites AS (
-  SELECT concat(l_orderkey, '.', l_linenumber // 8) AS doc_id, l_linenumber AS n, min(l_partkey) AS p,
-         CAST(min(l_quantity) AS INTEGER) AS q, min(l_returnflag) AS f
-  FROM lineitem GROUP BY l_orderkey, l_linenumber)"""
+  SELECT concat(l_orderkey, '.', n // 8) AS doc_id, CAST(n AS INTEGER) AS n, l_partkey AS p, CAST(l_quantity AS INTEGER) AS q, l_returnflag AS f
+  FROM (SELECT *, l_linenumber + 8 * (row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_quantity, l_returnflag) - 1) AS n FROM lineitem))"""
 
 
 def text(*parts: str | Column) -> Column:
@@ -103,7 +97,8 @@ PARAGRAPHS = """paragraphs AS (
   SELECT doc_id, unnest(l) AS para_text, CAST(generate_subscripts(l, 1) - 1 AS INTEGER) AS para_no
   FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents))"""
 
-SENTENCE_RE = r"[^.!?]+[.!?]*"
+# Marks ahead of the first word, or alone, belong to a sentence, too.
+SENTENCE_RE = r"[.!?]*[^.!?]+[.!?]*|[.!?]+"
 
 
 def sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -123,7 +118,7 @@ sentences AS (
   SELECT * FROM (
     SELECT doc_id, para_no, CAST(sent_no AS INTEGER) AS sent_no, trim(regexp_replace(s, '[ \t\r\n\f]+', ' ', 'g')) AS sentence
     FROM (SELECT doc_id, para_no, unnest(l) AS s, generate_subscripts(l, 1) - 1 AS sent_no
-          FROM (SELECT doc_id, para_no, regexp_extract_all(para_text, '[^.!?]+[.!?]*') AS l FROM paragraphs)))
+          FROM (SELECT doc_id, para_no, regexp_extract_all(para_text, '[.!?]*[^.!?]+[.!?]*|[.!?]+') AS l FROM paragraphs)))
   WHERE sentence <> '')"""
 )
 

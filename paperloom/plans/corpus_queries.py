@@ -7,7 +7,7 @@ from paperloom.operators import papers as P
 from paperloom.plans.adapters import PARAGRAPHS, SENTENCES, document_papers, paragraphs, sentences, table, text
 from paperloom.plans.paper_queries import _SENTENCE_ROWS
 from paperloom.plans.registry import query
-from paperloom.session import work_path
+from paperloom.session import stored, work_path
 from paperloom.sources.files import decode_text
 from paperloom.streaming import ingest as G
 
@@ -102,15 +102,15 @@ def f6_vocabulary(spark, sf_dir):
 
 @query(
     "f6_token_windows",
-    f"""WITH {_WORDS}, ids AS (SELECT doc_id, para_no, sent_no, string_agg(CAST(id AS VARCHAR), ' ' ORDER BY k) AS s, count(*) AS c FROM words JOIN vocab USING (word) WHERE k <= 126 GROUP BY 1, 2, 3)
-    SELECT s.doc_id, s.para_no, s.sent_no, concat('1 ', CASE WHEN i.s IS NULL THEN '' ELSE concat(i.s, ' ') END, '2', repeat(' 0', CAST(126 - coalesce(i.c, 0) AS INTEGER))) AS ids, CAST(coalesce(i.c, 0) + 2 AS INTEGER) AS tokens
+    f"""WITH {_WORDS}, ids AS (SELECT doc_id, para_no, sent_no, CAST((k - 1) // 126 AS INTEGER) AS window_no, string_agg(CAST(id AS VARCHAR), ' ' ORDER BY k) AS s, count(*) AS c FROM words JOIN vocab USING (word) GROUP BY 1, 2, 3, 4)
+    SELECT s.doc_id, s.para_no, s.sent_no, coalesce(i.window_no, 0) AS window_no, concat('1 ', CASE WHEN i.s IS NULL THEN '' ELSE concat(i.s, ' ') END, '2', repeat(' 0', CAST(126 - coalesce(i.c, 0) AS INTEGER))) AS ids, CAST(coalesce(i.c, 0) + 2 AS INTEGER) AS tokens
     FROM sentences s LEFT JOIN ids i ON s.doc_id = i.doc_id AND s.para_no = i.para_no AND s.sent_no = i.sent_no""",
 )
 def f6_token_windows(spark, sf_dir):
     keys = ["doc_id", "para_no", "sent_no"]
-    words = K.sentence_words(sentences(spark, sf_dir), keys)
-    out = K.token_windows(words, keys, K.vocabulary(words.where("word is not null")))
-    return out.select(*keys, F.array_join("ids", " ").alias("ids"), F.size(F.filter("mask", lambda m: m == 1)).alias("tokens"))
+    words = stored(K.sentence_words(sentences(spark, sf_dir), keys), "words")
+    out = K.token_windows(words, keys, stored(K.vocabulary(words.where("word is not null")), "vocabulary"))
+    return out.select(*keys, "window_no", F.array_join("ids", " ").alias("ids"), F.size(F.filter("mask", lambda m: m == 1)).alias("tokens"))
 
 
 _EVENTS = "event_id long, ts timestamp, user_id long, event_type string, value double, props string"
@@ -131,14 +131,13 @@ def g1_continuous_ingest(spark, sf_dir):
     return _finish(spark, q, path, "file string, section string, sentence string, coordinates string").select("file", "section", "sentence", "coordinates")
 
 
-@query("g2_drop_repeats", "SELECT DISTINCT event_type AS dataset, user_id AS filename FROM events")
+@query("g2_drop_repeats", "SELECT event_type AS dataset, user_id AS filename, epoch_us(min(ts)) AS first_us FROM events GROUP BY event_type, user_id")
 def g2_drop_repeats(spark, sf_dir):
     stream = G.file_stream(spark, sf_dir, _EVENTS, "events.parquet")
     rows = stream.select(F.col("event_type").alias("dataset"), F.col("user_id").alias("filename"), "ts")
-    # The delay spans all announcements, so each file passes once.
-    once = G.drop_repeats(rows, "ts", ["dataset", "filename"], delay="3650 days").select("dataset", "filename")
     path = work_path(spark, "announced")
-    return _finish(spark, G.append_table(once, path, work_path(spark, "announced-state")), path, "dataset string, filename long")
+    log = _finish(spark, G.append_table(rows, path, work_path(spark, "announced-state")), path, "dataset string, filename long, ts timestamp")
+    return G.first_announcements(log, "ts", ["dataset", "filename"]).select("dataset", "filename", F.unix_micros("ts").alias("first_us"))
 
 
 @query("g3_upsert", _LATEST)

@@ -49,6 +49,14 @@ def work_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written to the shared folder and read again, so that several uses
+    do not compute it again."""
+    spark, path = df.sparkSession, work_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Cut the lineage of ``df`` with a reliable checkpoint."""
     shared_folder(df.sparkSession)

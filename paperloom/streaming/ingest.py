@@ -33,17 +33,20 @@ def ingest(stream: DataFrame, transform: Callable[[DataFrame], DataFrame], path:
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def drop_repeats(stream: DataFrame, time: str, keys: list[str], delay: str = "1 hour") -> DataFrame:
-    """The first announcement of each file within the watermark passes; the
-    state kept is bounded by the delay."""
-    return stream.withWatermark(time, delay).dropDuplicatesWithinWatermark(keys)
-
-
 def append_table(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Append rows to a table as they come, once each."""
     return stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def first_announcements(log: DataFrame, time: str, keys: list[str]) -> DataFrame:
+    """Each file once, at its first announcement, of an append-only log.
+
+    The stream appends without state, so none is lost however late it comes; the
+    first one is a grouped minimum when read.
+    """
+    return log.groupBy(*keys).agg(F.min(time).alias(time))
+
+
 def current_rows(log: DataFrame, keys: list[str], version: list[str]) -> DataFrame:
     """Of an append-only table, the rows of the newest version of each key.
 
