@@ -37,7 +37,8 @@ def assemble(
 
     ``meta``: ``doc_id`` and scalars; ``paragraphs``: ``doc_id, part, para_no,
     section, sec_num, para_text`` (and ``sentences``); ``spans``: ``doc_id,
-    part, para_no, kind, start, end, text, ref_id``; ``bibs``: ``doc_id, key,
+    part, para_no, kind, start, end, text, ref_id`` (equation spans keep
+    ``latex, math, raw_str, eq_num``, where given); ``bibs``: ``doc_id, key,
     …``; ``entries``: ``doc_id, ref_id, …``; ``authors``: ``doc_id, pos, …``.
     Entries with a ``pos`` keep that order, others the order of their keys.
     A paper is one row by definition, so it must fit a task; the long tables
@@ -45,9 +46,10 @@ def assemble(
     """
     paras = paragraphs
     if spans is not None:
+        fields, payload = ["start", "end", "text", "ref_id"], [c for c in ("latex", "math", "raw_str", "eq_num") if c in spans.columns]
         keyed = spans.groupBy("doc_id", "part", "para_no").agg(
             *[
-                ordered_list(F.col("start"), F.when(F.col("kind") == k, F.struct("start", "end", "text", "ref_id"))).alias(f"{k}_spans")
+                ordered_list(F.col("start"), F.when(F.col("kind") == k, F.struct(*fields, *(payload if k == "eq" else [])))).alias(f"{k}_spans")
                 for k in ("cite", "ref", "eq")
             ]
         )

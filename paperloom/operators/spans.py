@@ -154,10 +154,11 @@ def with_numbers(spans: DataFrame, entries: DataFrame) -> DataFrame:
 
 def marked_spans(tokens: DataFrame, para: str = "p", marks: tuple[str, ...] = ("xref", "sup", "sub")) -> DataFrame:
     """Spans of possibly nested marks, with offsets into the softened
-    paragraph text. Text between two marks is one run and is softened whole.
+    paragraph text. A pair of spaces may lie across a mark: a run then begins
+    without the space that completes the pair.
 
     Columns: ``doc_id, para_pos, pos, kind`` (cite, fig, table, sup, sub or
-    NULL for other references), ``start, end, text, ref_id``.
+    NULL for other references), ``start, end, text, ref_id, para_text``.
     """
     marked = within(tokens, _p=para).where("_p is not null")
     is_mark = F.coalesce(F.col("tag").isin(*marks) & F.col("kind").isin("open", "close"), F.lit(False))
@@ -167,30 +168,33 @@ def marked_spans(tokens: DataFrame, para: str = "p", marks: tuple[str, ...] = ("
     grouped = runs.groupBy("doc_id", F.col("_p").alias("para_pos"), "_run").agg(
         own(F.col("pos")).alias("pos"), own(F.col("kind")).alias("_kind"), own(F.col("tag")).alias("_tag"), own(F.col("depth")).alias("_depth"),
         own(attr(F.col("tok"), "rid")).alias("ref_id"), own(attr(F.col("tok"), "ref-type")).alias("_type"),
-        soften_ws(ordered_concat(F.col("pos"), F.col("text"))).alias("_text"),
+        F.regexp_replace(ordered_concat(F.col("pos"), F.col("text")), r"[^\S\n\t]", " ").alias("_raw"),
     )
-    line = W.partitionBy("doc_id", "para_pos").orderBy("_run").rowsBetween(W.unboundedPreceding, 0)
-    placed = grouped.withColumn("_at", F.sum(F.length("_text")).over(line) - F.length("_text"))
+    # Spaces at the end of all text so far: those of this run, or, if it has nothing else, one more stretch of them.
+    line = W.partitionBy("doc_id", "para_pos").orderBy("_run")
+    upto = line.rowsBetween(W.unboundedPreceding, 0)
+    solid = F.rtrim("_raw") != ""
+    tail = F.length("_raw") - F.length(F.rtrim("_raw"))
+    placed = grouped.withColumns({"_tail": tail, "_block": F.sum(F.when(solid, 1).otherwise(0)).over(upto)})
+    placed = placed.withColumn("_open", F.sum("_tail").over(W.partitionBy("doc_id", "para_pos", "_block").orderBy("_run").rowsBetween(W.unboundedPreceding, 0)) % 2)
+    pending = F.lag("_open", 1, 0).over(line) == 1
+    begun = F.when(pending & F.col("_raw").startswith(" "), F.expr("substring(_raw, 2)")).otherwise(F.col("_raw"))
+    placed = placed.withColumn("_text", soften_ws(begun))
+    placed = placed.withColumn("_at", F.sum(F.length("_text")).over(upto) - F.length("_text"))
     level = W.partitionBy("doc_id", "para_pos", "_depth").orderBy("_run")
     placed = placed.withColumn("_until", F.lead("_at").over(level))
     kind = (
         F.when(F.col("_tag") != "xref", F.col("_tag")).when(F.col("_type") == "bibr", "cite").when(F.col("_type").isin("fig", "table"), F.col("_type"))
     )
-    # The text of a mark is all runs inside it, cut from the paragraph text.
-    whole = ordered_concat_over(W.partitionBy("doc_id", "para_pos"), "_run", "_text")
-    spans = placed.withColumn("_whole", whole).where("_kind = 'open'")
+    # The text of a mark is all runs inside it, cut from the paragraph text, which is put together once.
+    whole = placed.groupBy("doc_id", "para_pos").agg(ordered_concat(F.col("_run"), F.col("_text")).alias("para_text"))
+    spans = placed.where("_kind = 'open'").join(whole, ["doc_id", "para_pos"])
     return spans.select(
         "doc_id", "para_pos", "pos", kind.alias("kind"), F.col("_at").cast("int").alias("start"), F.col("_until").cast("int").alias("end"),
-        F.substring(F.col("_whole"), F.col("_at") + 1, F.col("_until") - F.col("_at")).alias("text"), "ref_id", F.col("_whole").alias("para_text"),
+        F.substring(F.col("para_text"), F.col("_at") + 1, F.col("_until") - F.col("_at")).alias("text"), "ref_id", "para_text",
     )
 
 
-def ordered_concat_over(window, order: str, value: str) -> Column:
-    """Window form of an ordered concatenation over the whole partition."""
-    pairs = F.collect_list(F.struct(F.col(order).alias("k"), F.col(value).alias("v"))).over(window)
-    return F.array_join(F.transform(F.array_sort(pairs), lambda x: x["v"]), "")
-
-
 def merge_ref_spans(spans: DataFrame, new_keys: DataFrame) -> DataFrame:
     """Figure and table spans become reference spans; ids are replaced by
     the new keys (``doc_id, old_key, ref_id``), unknown ones by NULL."""
