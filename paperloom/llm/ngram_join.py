@@ -78,30 +78,33 @@ def signature_keys(tokens: np.ndarray, percent: int) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
-def _signatures(n: int, percent: int):
+def _marks(n: int):
+    """Size and fingerprint of each text's set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi, data, offsets in pieces(batch.column(1)):
+                w = words(data, offsets)
+                grams = windows(w.hash, n)
+                sets = [shingle_set(w, grams, d, n) for d in range(hi - lo)]
+                marks = np.array([(mix(s + _U(1)).sum(dtype=np.uint64), mix(s + _U(2)).sum(dtype=np.uint64)) for s in sets], np.uint64).view(np.int64)
+                sizes = pa.array([len(s) for s in sets], pa.int64())
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), sizes, pa.array(marks[:, 0]), pa.array(marks[:, 1])], names=["id", "n", "f1", "f2"])
+
+    return run
+
+
+def _keys(n: int, percent: int):
+    """One row per text and top node."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, data, offsets in pieces(batch.column(1)):
                 w = words(data, offsets)
                 grams = windows(w.hash, n)
-                sizes, marks, keys = [], [], []
-                for d in range(hi - lo):
-                    tokens = shingle_set(w, grams, d, n)
-                    sizes.append(len(tokens))
-                    marks.append((mix(tokens + _U(1)).sum(dtype=np.uint64), mix(tokens + _U(2)).sum(dtype=np.uint64)))
-                    keys.append(signature_keys(tokens, percent) if len(tokens) else tokens)
-                ends = np.cumsum([0, *map(len, keys)], dtype=np.int32)
-                marks = np.array(marks, np.uint64).view(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(lo, hi - lo),
-                        pa.array(sizes, pa.int64()),
-                        pa.array(marks[:, 0]),
-                        pa.array(marks[:, 1]),
-                        pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(keys).view(np.int64))),
-                    ],
-                    names=["id", "n", "f1", "f2", "keys"],
-                )
+                keys = [signature_keys(s, percent) if len(s := shingle_set(w, grams, d, n)) else s for d in range(hi - lo)]
+                ids = batch.column(0).take(pa.array(np.repeat(np.arange(lo, hi), [len(k) for k in keys])))
+                yield pa.RecordBatch.from_arrays([ids, pa.array(np.concatenate(keys).view(np.int64))], names=["id", "key"])
 
     return run
 
@@ -258,18 +261,21 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     a null id come back with a null component. Other columns are not read.
     """
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    table = written(source.mapInArrow(_signatures(n, percent), "id long, n long, f1 long, f2 long, keys array<long>"), "signatures")
+    table = written(source.mapInArrow(_marks(n), "id long, n long, f1 long, f2 long"), "set-marks")
     full = table.where("n > 0 and id is not null")
     # Equal sets first: one row stands for all copies.
     copies = written(full.groupBy("f1", "f2", "n").agg(F.min("id").alias("leader")), "classes")
     lead = copies.groupBy("leader").agg(F.max("n").alias("n"))
-    # Top nodes with more than one set, each named by its smallest member.
-    # Merge joins at every size: the plan must not depend on how small a test is.
-    keys = full.join(lead.select(F.col("leader").alias("id")).hint("merge"), "id", "left_semi").select("id", F.explode("keys").alias("key"))
+    owned = written(full.join(copies.hint("merge"), ["f1", "f2", "n"]).select("id", "leader"), "leaders")
+    # Top nodes with more than one text, each named by its smallest one. Keys are derived twice rather than
+    # stored. Merge joins at every size: the plan must not depend on how small a test is.
+    keys = source.where("id is not null").mapInArrow(_keys(n, percent), "id long, key long")
     shared = keys.groupBy("key").agg(F.min("id").alias("top"), F.max("id").alias("last")).where("top < last").select("key", "top")
-    cells = written(keys.join(shared.hint("merge"), "key").where("id <> top").select("top", "id").distinct(), "cells")
+    cells = keys.join(shared.hint("merge"), "key").where("id <> top").select("top", "id").distinct()
+    cells = cells.join(owned.hint("merge"), "id").where("leader <> top").select("top", F.col("leader").alias("id")).distinct()
+    cells = written(cells, "cells")
     sizes = cells.join(lead.withColumnRenamed("leader", "id"), "id")
-    load = sizes.groupBy("top").agg(F.ceil(F.sum("n") / CHUNK_TOKENS).cast("int").alias("chunks"))
+    load = written(sizes.groupBy("top").agg(F.ceil(F.sum("n") / CHUNK_TOKENS).cast("int").alias("chunks")), "loads")
     dealt = cells.join(load, "top").withColumn("chunk", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int"))
     chunks = written(dealt.select("top", "chunk", "id", "chunks"), "chunks")
     heads = chunks.select("top", "chunk", F.col("top").alias("id"), "chunks").distinct()
@@ -277,7 +283,6 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     needed = chunks.select("id").union(chunks.select("top")).distinct()
     sets = written(source.join(needed.hint("merge"), "id", "left_semi").mapInArrow(_sets(n), "id long, tokens binary"), "sets")
     # A repeated id with several texts connects the classes of all of them.
-    owned = full.join(copies.hint("merge"), ["f1", "f2", "n"]).select("id", "leader")
     twice = owned.groupBy("id").agg(F.min("leader").alias("a"), F.max("leader").alias("z")).where("a < z").select("id", "a")
     repeats = owned.join(twice, "id").select("a", F.col("leader").alias("b"))
     edges = written(_solved(members, sets, percent).union(repeats), "links")
@@ -293,7 +298,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 def _across(wide: DataFrame, sets: DataFrame, lead: DataFrame, percent: int) -> DataFrame:
     """Links across the chunks of a node: members outside its largest component against every chunk."""
     held = wide.groupBy("top", "label").agg(F.count("*").alias("c"))
-    main = held.groupBy("top").agg(F.max(F.struct("c", "label")).alias("m")).select("top", F.col("m.label").alias("main"))
+    main = written(held.groupBy("top").agg(F.max(F.struct("c", "label")).alias("m")).select("top", F.col("m.label").alias("main")), "mains")
     rest = wide.join(main, "top").where("label <> main").select("top", "id", "label")
     rest = rest.join(lead.withColumnRenamed("leader", "id"), "id")
     blocks = rest.groupBy("top").agg(F.ceil(F.sum("n") / CHUNK_TOKENS).cast("int").alias("blocks"))
