@@ -232,6 +232,31 @@ def test_section_tree_with_cycle_and_unknown_parent(spark):
     assert have == {"a": (["A"], False), "b": (["A", "B"], False), "c": (["A", "B", "C"], False), "s": (["S"], False), "u": (["U"], False), "x": (["X"], True), "y": (["Y"], True)}
 
 
+def test_section_tree_with_repeated_ids_ends(spark):
+    data = [("d", "X", "1", "R", None), ("d", "Y", "2", "Y", "X"), ("d", "X", "3", "X", "Y"), ("d", "Z", "4", "Z", "Y")]
+    data += [("e", f"s{i}", None, f"S{i}", f"s{i - 1}" if i else None) for i in range(40)]
+    got = trees.section_paths(spark.createDataFrame(data, "doc_id string, sec_id string, num string, name string, parent string")).collect()
+    have = sorted((r.sec_id, [p.name for p in r.path], r.cyclic) for r in got if r.doc_id == "d")
+    assert have == [("X", ["R"], False), ("X", ["R", "Y", "X"], False), ("Y", ["R", "Y"], False), ("Z", ["R", "Y", "Z"], False)]
+    assert {r.sec_id: len(r.path) for r in got if r.doc_id == "e"} == {f"s{i}": i + 1 for i in range(40)}
+
+
+def test_references_are_read_once(spark):
+    df = spark.createDataFrame([("a &#38;lt; b &amp;lt; &lt;&#x41;&nope; &amp; & &#xD800; c",)], "t string")
+    assert df.select(text.unescape(F.col("t"))).first()[0] == "a &lt; b &lt; <A&nope; & & &#xD800; c"
+
+
+def test_sections_of_raw_text_keep_comments(spark):
+    t = T.tokenise(docs(spark, "<!DOCTYPE a [<!ENTITY x 'y'>]><a><![CDATA[x<!-- y -->z]]><!-- gone --><?pi?>w</a>"))
+    assert rows(t.where("kind = 'text'"), "text") == [("w",), ("x<!-- y -->z",)]
+
+
+def test_marks_between_pairs_of_spaces(spark):
+    x = '<p>foo <xref ref-type="bibr" rid="r"> bar</xref> baz  <xref ref-type="fig" rid="f">Fig 1</xref> end<sup> </sup>  <sup>x</sup></p>'
+    for r in N.marked_spans(T.tokenise(docs(spark, x))).collect():
+        assert r.para_text == "foo bar baz Fig 1 end  x" and r.para_text[r.start : r.end] == r.text
+
+
 def test_synthetic_ids_stay_above_used_ones(spark):
     data = [("d", 1, None), ("d", 2, "SECREF1500"), ("d", 3, None), ("e", 1, None), ("e", 2, "SECREFU7000")]
     got = trees.synthetic_ids(spark.createDataFrame(data, "doc_id string, pos long, sec_id string"))
@@ -286,10 +311,12 @@ def test_vocabulary_is_dense_and_by_frequency(spark):
     assert [count[r.word] for r in got] == sorted(count.values(), reverse=True)
 
 
-def test_windows_cut_and_pad(spark, monkeypatch):
+def test_windows_go_on_and_pad(spark, monkeypatch):
     monkeypatch.setattr(K, "HEAD_WORDS", 2)  # so that both join paths are taken
     s = spark.createDataFrame([(1, "a a a b b c"), (2, "..."), (3, "a b c a b c a")], "id long, sentence string")
     words = K.sentence_words(s, ["id"])
-    got = {r.id: (r.ids, r.mask) for r in K.token_windows(words, ["id"], K.vocabulary(words.where("word is not null")), length=7).collect()}
+    got = {(r.id, r.window_no): (r.ids, r.mask) for r in K.token_windows(words, ["id"], K.vocabulary(words.where("word is not null")), length=7).collect()}
     a, b, c = 3, 4, 5
-    assert got[1][0] == [1, a, a, a, b, b, 2] and got[2] == ([1, 2, 0, 0, 0, 0, 0], [1, 1, 0, 0, 0, 0, 0]) and got[3][0] == [1, a, b, c, a, b, 2]
+    assert got[1, 0][0] == [1, a, a, a, b, b, 2] and got[2, 0] == ([1, 2, 0, 0, 0, 0, 0], [1, 1, 0, 0, 0, 0, 0]) and got[3, 0][0] == [1, a, b, c, a, b, 2]
+    # No word is lost: a sentence goes on in its next window.
+    assert got[1, 1] == ([1, c, 2, 0, 0, 0, 0], [1, 1, 1, 0, 0, 0, 0]) and got[3, 1][0] == [1, c, a, 2, 0, 0, 0] and len(got) == 5
