@@ -27,6 +27,8 @@ from paperloom.llm.graph import components, written
 
 #: Shingles of one task's tree; nodes with more are dealt over several tasks.
 CHUNK_TOKENS = 2_000_000
+#: One text in SAMPLED is looked at to find keys that very many texts hold.
+SAMPLED = 256
 FANOUT = 16
 _U = np.uint64
 
@@ -74,7 +76,8 @@ def signature_keys(tokens: np.ndarray, percent: int) -> np.ndarray:
         named = np.arange(k, dtype=np.uint64)
         if np.count_nonzero(total == 0) <= spare:
             named, total = named[total != 0], total[total != 0]
-        out.append(mix(mix(total + _U((c + 1) * 0x9E3779B97F4A7C15 % 2**64)) + named))
+        # 48 bits are enough: keys only bring candidates together.
+        out.append(mix(mix(total + _U((c + 1) * 0x9E3779B97F4A7C15 % 2**64)) + named) >> _U(16))
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
@@ -109,14 +112,25 @@ def _keys(n: int, percent: int):
     return run
 
 
-def _sets(n: int):
+def _ship(n: int):
+    """Texts with their ``units`` to one row per unit with the text's set."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, data, offsets in pieces(batch.column(1)):
                 w = words(data, offsets)
                 grams = windows(w.hash, n)
                 sets = [shingle_set(w, grams, d, n).tobytes() for d in range(hi - lo)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(sets, pa.binary())], names=["id", "tokens"])
+                units = batch.column(2).slice(lo, hi - lo)
+                owner = np.repeat(np.arange(hi - lo), units.value_lengths().to_numpy(zero_copy_only=False))
+                load = np.cumsum([len(sets[d]) for d in owner])
+                flat = units.flatten()
+                for part in np.split(np.arange(len(owner)), np.flatnonzero(np.diff(load // (8 << 20))) + 1):
+                    if len(part):
+                        mine = owner[part]
+                        fields = [flat.field(i).slice(part[0], len(part)) for i in range(4)]
+                        ids = batch.column(0).take(pa.array(lo + mine))
+                        yield pa.RecordBatch.from_arrays([fields[0], fields[1], ids, fields[2], fields[3], pa.array([sets[d] for d in mine], pa.binary())], names=["top", "chunk", "id", "label", "side", "tokens"])
 
     return run
 
@@ -244,13 +258,33 @@ def _edges(out: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
 
-def _solved(work: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links of the units ``top, chunk, id, label, side``."""
-    rows = work.join(sets.hint("merge"), "id").select("top", "chunk", "id", "label", "side", "tokens")
+def _solved(work: DataFrame, source: DataFrame, n: int, percent: int) -> DataFrame:
+    """Links of the units ``top, chunk, id, label, side``. A text is read once for all its units, at most one per key of it."""
+    per = work.groupBy("id").agg(F.collect_list(F.struct("top", F.col("chunk").cast("string").alias("chunk"), "label", "side")).alias("units"))
+    rows = source.join(per.hint("merge"), "id").mapInArrow(_ship(n), "top long, chunk string, id long, label long, side int, tokens binary")
     rows = rows.repartition("top", "chunk").sortWithinPartitions("top", "chunk", "side", "id")
     return rows.mapInArrow(_walk(percent), "a long, b long")
 
 
+def _key_links(texts: DataFrame, n: int, percent: int) -> DataFrame:
+    """``top, id, shared``: each text with the smallest one under a common key, and the number of such keys.
+
+    Keys that one text in a hundred holds, by a sample of the texts, are few: at
+    most a hundred times the keys of an average text. Their smallest ids are found
+    by partial minima and broadcast, so no hot key is shuffled; all other keys go
+    through one shuffle and an ordered pass. The sample only chooses the way.
+    """
+    derive = lambda df: df.mapInArrow(_keys(n, percent), "id long, key long")
+    keys, sample = derive(texts), texts.where(F.pmod(F.xxhash64("id", F.lit(3)), F.lit(SAMPLED)) == 0)
+    least = max(16, sample.count() // 100)
+    hot = written(derive(sample).groupBy("key").count().where(F.col("count") >= least).select("key"), "hot-keys")
+    tops = written(keys.join(F.broadcast(hot), "key").groupBy("key").agg(F.min("id").alias("top")), "hot-tops")
+    near = keys.join(F.broadcast(tops), "key").select("top", "id")
+    first = F.first("id").over(W.partitionBy("key").orderBy("id"))
+    far = keys.join(F.broadcast(hot), "key", "left_anti").select(first.alias("top"), "id")
+    return near.union(far).where("id <> top").groupBy("top", "id").agg(F.count("*").alias("shared"))
+
+
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, percent: int = 80) -> DataFrame:
     """Per row of ``docs``: ``id, n_shingles, component_id``.
 
@@ -263,51 +297,57 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     table = written(source.mapInArrow(_marks(n), "id long, n long, f1 long, f2 long"), "set-marks")
     full = table.where("n > 0 and id is not null")
-    # Equal sets first: one row stands for all copies.
+    # Equal sets first: one row stands for all copies. Merge joins at every size: the plan must not depend on how
+    # small a test is.
     copies = written(full.groupBy("f1", "f2", "n").agg(F.min("id").alias("leader")), "classes")
-    lead = copies.groupBy("leader").agg(F.max("n").alias("n"))
+    lead = copies.groupBy(F.col("leader").alias("id")).agg(F.max("n").alias("n"))
     owned = written(full.join(copies.hint("merge"), ["f1", "f2", "n"]).select("id", "leader"), "leaders")
-    # Top nodes with more than one text, each named by its smallest one. Keys are derived twice rather than
-    # stored. Merge joins at every size: the plan must not depend on how small a test is.
-    keys = source.where("id is not null").mapInArrow(_keys(n, percent), "id long, key long")
-    shared = keys.groupBy("key").agg(F.min("id").alias("top"), F.max("id").alias("last")).where("top < last").select("key", "top")
-    cells = keys.join(shared.hint("merge"), "key").where("id <> top").select("top", "id").distinct()
-    cells = cells.join(owned.hint("merge"), "id").where("leader <> top").select("top", F.col("leader").alias("id")).distinct()
-    cells = written(cells, "cells")
-    sizes = cells.join(lead.withColumnRenamed("leader", "id"), "id")
-    load = written(sizes.groupBy("top").agg(F.ceil(F.sum("n") / CHUNK_TOKENS).cast("int").alias("chunks")), "loads")
-    dealt = cells.join(load, "top").withColumn("chunk", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int"))
-    chunks = written(dealt.select("top", "chunk", "id", "chunks"), "chunks")
-    heads = chunks.select("top", "chunk", F.col("top").alias("id"), "chunks").distinct()
-    members = chunks.union(heads).select("top", "chunk", "id", F.col("id").alias("label"), F.lit(-1).alias("side"))
-    needed = chunks.select("id").union(chunks.select("top")).distinct()
-    sets = written(source.join(needed.hint("merge"), "id", "left_semi").mapInArrow(_sets(n), "id long, tokens binary"), "sets")
+    # A cell is a top node: the smallest text of some keys and all that share one of them with it.
+    source = source.where("id is not null")
+    cells = _key_links(source, n, percent).join(owned.hint("merge"), "id").where("leader <> top")
+    cells = written(cells.groupBy("top", F.col("leader").alias("id")).agg(F.sum("shared").alias("shared")), "cells")
+    # First each text goes to the cell it shares most with only.
+    home = cells.groupBy("id").agg(F.max(F.struct("shared", (-F.col("top")).alias("t"))).alias("h")).select("id", (-F.col("h.t")).alias("top"))
+    home = written(home.join(lead, "id"), "homes")
+    load = written(home.groupBy("top").agg(F.ceil(F.sum("n") / CHUNK_TOKENS).cast("int").alias("chunks"), F.count("*").alias("homes")), "loads")
+    dealt = home.join(load, "top").select("top", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int").alias("chunk"), "id")
+    heads = load.select("top", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), F.col("top").alias("id"))
+    members = dealt.union(heads).select("top", "chunk", "id", F.col("id").alias("label"), F.lit(-1).alias("side"))
     # A repeated id with several texts connects the classes of all of them.
     twice = owned.groupBy("id").agg(F.min("leader").alias("a"), F.max("leader").alias("z")).where("a < z").select("id", "a")
     repeats = owned.join(twice, "id").select("a", F.col("leader").alias("b"))
-    edges = written(_solved(members, sets, percent).union(repeats), "links")
+    edges = written(_solved(members, source, n, percent).union(repeats), "links")
     found = components(edges)
-    # Nodes dealt over several chunks: what is still apart meets the rest of its node.
-    wide = chunks.where("chunks > 1").join(found.withColumnRenamed("node", "id"), "id", "left")
-    wide = wide.select("top", "chunk", "id", F.coalesce("component", "id").alias("label"))
-    if wide.limit(1).count():
-        found = components(edges.union(_across(wide, sets, lead, percent)))
+    # Cells that were not compared as a whole: what is still apart in them meets all of them.
+    sizes = cells.groupBy("top").agg(F.count("*").alias("members"))
+    part = sizes.join(load, "top", "left").where("homes is null or homes < members or chunks > 1").select("top")
+    wide = cells.select("top", "id").join(part, "top").union(part.select("top", F.col("top").alias("id")))
+    wide = wide.join(lead, "id").join(found.withColumnRenamed("node", "id"), "id", "left").select("top", "id", "n", F.coalesce("component", "id").alias("label"))
+    units = written(_across(written(wide, "open-cells")), "open-units")
+    if units.limit(1).count():
+        found = components(edges.union(_solved(units, source, n, percent)))
     return _result(table, copies, found)
 
 
-def _across(wide: DataFrame, sets: DataFrame, lead: DataFrame, percent: int) -> DataFrame:
-    """Links across the chunks of a node: members outside its largest component against every chunk."""
+def _across(wide: DataFrame) -> DataFrame:
+    """Units that compare the members of a cell outside its largest component with all of its members.
+
+    ``wide``: ``top, id, n, label``. Both sides are dealt over blocks of CHUNK_TOKENS shingles.
+    """
     held = wide.groupBy("top", "label").agg(F.count("*").alias("c"))
-    main = written(held.groupBy("top").agg(F.max(F.struct("c", "label")).alias("m")).select("top", F.col("m.label").alias("main")), "mains")
-    rest = wide.join(main, "top").where("label <> main").select("top", "id", "label")
-    rest = rest.join(lead.withColumnRenamed("leader", "id"), "id")
-    blocks = rest.groupBy("top").agg(F.ceil(F.sum("n") / CHUNK_TOKENS).cast("int").alias("blocks"))
-    rest = rest.join(blocks, "top").select("top", "id", "label", F.pmod(F.xxhash64("id", F.lit(1)), F.col("blocks")).cast("int").alias("block"))
-    wanted = wide.select("top", "chunk").distinct()
+    main = held.groupBy("top").agg(F.max(F.struct("c", "label")).alias("m"), F.count("*").alias("labels")).where("labels > 1")
+    main = written(main.select("top", F.col("m.label").alias("main")), "mains")
+
+    def blocks(rows: DataFrame, name: str) -> DataFrame:
+        load = written(rows.groupBy("top").agg(F.ceil(F.sum("n") / CHUNK_TOKENS).cast("int").alias("_n")), "loads")
+        return rows.join(load, "top").select("top", "id", "label", F.pmod(F.xxhash64("id", F.lit(1)), F.col("_n")).cast("int").alias(name))
+
+    rows = wide.join(main, "top")
+    every, rest = blocks(rows.drop("main"), "chunk"), blocks(rows.where("label <> main").drop("main"), "block")
     unit = lambda df, side: df.select("top", F.concat_ws("/", "block", "chunk").alias("chunk"), "id", "label", F.lit(side).alias("side"))
-    few = unit(rest.join(wanted, "top"), 0)
-    many = unit(wide.join(rest.select("top", "block").distinct(), "top"), 1)
-    return _solved(few.union(many), sets, percent)
+    few = unit(rest.join(every.select("top", "chunk").distinct(), "top"), 0)
+    many = unit(every.join(rest.select("top", "block").distinct(), "top"), 1)
+    return few.union(many)
 
 
 def _result(table: DataFrame, copies: DataFrame, found: DataFrame) -> DataFrame:
@@ -327,6 +367,8 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     found = jaccard_components(docs, id_col, text_col, n, percent)
     gone = found.where("component_id < id").select(F.col("id").alias(id_col)).distinct()
     left = docs.join(gone, id_col, "left_anti").select(docs.columns)
+    # Only rows of repeated ids are put in order.
+    again = found.where("id is not null").groupBy(F.col("id").alias(id_col)).count().where("count > 1").select(id_col)
     turn = F.row_number().over(W.partitionBy(id_col).orderBy(text_col))
-    known = left.where(F.col(id_col).isNotNull()).withColumn("__turn", turn).where("__turn = 1").drop("__turn")
-    return known.union(docs.where(F.col(id_col).isNull()))
+    first = left.join(again, id_col, "left_semi").withColumn("__turn", turn).where("__turn = 1").drop("__turn")
+    return left.join(again, id_col, "left_anti").select(docs.columns).union(first.select(docs.columns))

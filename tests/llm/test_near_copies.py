@@ -70,6 +70,7 @@ def test_components(spark, make_docs, n, percent):
 
 def test_components_over_several_chunks(spark, make_docs, monkeypatch):
     monkeypatch.setattr(ngram_join, "CHUNK_TOKENS", 300)
+    monkeypatch.setattr(ngram_join, "SAMPLED", 1)
     rng = random.Random(4)
     base, rows = prose(rng, 120), []
     for i in range(60):
