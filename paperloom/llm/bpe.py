@@ -21,7 +21,7 @@ import heapq
 import json
 import unicodedata
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 from itertools import islice
 
 import pyarrow as pa
@@ -34,7 +34,7 @@ from tokenizers import Tokenizer
 from paperloom.llm.bytetext import PIECE
 
 #: Words kept with their tokens; a full cache starts anew. Only words of up to CACHED characters enter.
-CACHE_WORDS, CACHED = 300_000, 32
+CACHE_WORDS, CACHED = 100_000, 32
 #: Characters of a text that are cut into words at once.
 SEGMENT = 1 << 18
 
@@ -162,9 +162,14 @@ class Codec:
         self.alphabet = byte_alphabet()
         self.bytes_of = {c: b for b, c in self.alphabet.items()}
         self.text_of = {i: t for t, i in (model["vocab"] | self.special).items()}
-        self.library = Tokenizer.from_file(path)
+        self.path = path
         self.cache: dict[str, tuple[str, int, str]] = {}
 
+    @cached_property
+    def library(self) -> Tokenizer:
+        """Loaded where a text needs it."""
+        return Tokenizer.from_file(self.path)
+
     def normalise(self, text: str) -> str:
         """Canonical composition and lower case, character by character.
 

@@ -112,6 +112,17 @@ def _keys(n: int, percent: int):
     return run
 
 
+def packed(tokens: np.ndarray) -> bytes:
+    """The upper 48 bits of each hash, in order: enough to compare two sets."""
+    return tokens.view(np.uint8).reshape(-1, 8)[:, 2:].tobytes()
+
+
+def unpacked(raw: bytes) -> np.ndarray:
+    out = np.zeros((len(raw) // 6, 8), np.uint8)
+    out[:, 2:] = np.frombuffer(raw, np.uint8).reshape(-1, 6)
+    return np.ascontiguousarray(out).view(np.uint64).ravel() >> _U(16)
+
+
 def _ship(n: int):
     """Texts with their ``units`` to one row per unit with the text's set."""
 
@@ -120,7 +131,7 @@ def _ship(n: int):
             for lo, hi, data, offsets in pieces(batch.column(1)):
                 w = words(data, offsets)
                 grams = windows(w.hash, n)
-                sets = [shingle_set(w, grams, d, n).tobytes() for d in range(hi - lo)]
+                sets = [packed(shingle_set(w, grams, d, n)) for d in range(hi - lo)]
                 units = batch.column(2).slice(lo, hi - lo)
                 owner = np.repeat(np.arange(hi - lo), units.value_lengths().to_numpy(zero_copy_only=False))
                 load = np.cumsum([len(sets[d]) for d in owner])
@@ -244,7 +255,7 @@ def _walk(percent: int):
                     if rows:
                         out += solve(rows)
                     at, rows = key, []
-                rows.append((ids[r], np.frombuffer(tokens[r].as_py(), np.uint64), labels[r], sides[r]))
+                rows.append((ids[r], unpacked(tokens[r].as_py()), labels[r], sides[r]))
             if out:
                 yield _edges(out)
         if rows:
@@ -267,7 +278,7 @@ def _solved(work: DataFrame, source: DataFrame, n: int, percent: int) -> DataFra
 
 
 def _key_links(texts: DataFrame, n: int, percent: int) -> DataFrame:
-    """``top, id, shared``: each text with the smallest one under a common key, and the number of such keys.
+    """``top, id``: each text with the smallest one under a common key.
 
     Keys that one text in a hundred holds, by a sample of the texts, are few: at
     most a hundred times the keys of an average text. Their smallest ids are found
@@ -282,7 +293,7 @@ def _key_links(texts: DataFrame, n: int, percent: int) -> DataFrame:
     near = keys.join(F.broadcast(tops), "key").select("top", "id")
     first = F.first("id").over(W.partitionBy("key").orderBy("id"))
     far = keys.join(F.broadcast(hot), "key", "left_anti").select(first.alias("top"), "id")
-    return near.union(far).where("id <> top").groupBy("top", "id").agg(F.count("*").alias("shared"))
+    return near.union(far).where("id <> top").distinct()
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, percent: int = 80) -> DataFrame:
@@ -305,11 +316,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     # A cell is a top node: the smallest text of some keys and all that share one of them with it.
     source = source.where("id is not null")
     cells = _key_links(source, n, percent).join(owned.hint("merge"), "id").where("leader <> top")
-    cells = written(cells.groupBy("top", F.col("leader").alias("id")).agg(F.sum("shared").alias("shared")), "cells")
-    # First each text goes to the cell it shares most with only.
-    home = cells.groupBy("id").agg(F.max(F.struct("shared", (-F.col("top")).alias("t"))).alias("h")).select("id", (-F.col("h.t")).alias("top"))
-    home = written(home.join(lead, "id"), "homes")
-    load = written(home.groupBy("top").agg(F.ceil(F.sum("n") / CHUNK_TOKENS).cast("int").alias("chunks"), F.count("*").alias("homes")), "loads")
+    cells = written(cells.select("top", F.col("leader").alias("id")).distinct(), "cells")
+    home = cells.join(lead, "id")
+    load = written(home.groupBy("top").agg(F.ceil(F.sum("n") / CHUNK_TOKENS).cast("int").alias("chunks")), "loads")
     dealt = home.join(load, "top").select("top", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int").alias("chunk"), "id")
     heads = load.select("top", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), F.col("top").alias("id"))
     members = dealt.union(heads).select("top", "chunk", "id", F.col("id").alias("label"), F.lit(-1).alias("side"))
@@ -318,10 +327,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     repeats = owned.join(twice, "id").select("a", F.col("leader").alias("b"))
     edges = written(_solved(members, source, n, percent).union(repeats), "links")
     found = components(edges)
-    # Cells that were not compared as a whole: what is still apart in them meets all of them.
-    sizes = cells.groupBy("top").agg(F.count("*").alias("members"))
-    part = sizes.join(load, "top", "left").where("homes is null or homes < members or chunks > 1").select("top")
-    wide = cells.select("top", "id").join(part, "top").union(part.select("top", F.col("top").alias("id")))
+    # Cells dealt over several chunks: what is still apart in them meets all of them.
+    part = load.where("chunks > 1").select("top")
+    wide = cells.join(part, "top").union(part.select("top", F.col("top").alias("id")))
     wide = wide.join(lead, "id").join(found.withColumnRenamed("node", "id"), "id", "left").select("top", "id", "n", F.coalesce("component", "id").alias("label"))
     units = written(_across(written(wide, "open-cells")), "open-units")
     if units.limit(1).count():
