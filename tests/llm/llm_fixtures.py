@@ -1,21 +1,11 @@
-import os
-import sys
+"""Documents for the tests of this folder; the session comes from the folder above."""
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
-
-from paperloom.session import local_session  # noqa: E402
-
 #: Names that the operators use inside, as extra columns of their input.
 CLASH = ["id", "h", "n", "key", "keys", "top", "chunk", "label", "score", "start", "end", "tokens", "budget", "weight", "domain", "host", "mark", "uid", "v", "norm", "block", "json"]
 
 
-@pytest.fixture(scope="session")
-def spark():
-    return local_session("4", partitions=2, memory="4g")
-
-
 @pytest.fixture
 def make_docs(spark):
     """Documents of (id, text) or (id, text, lang, source) rows, with clashing extra columns."""

@@ -5,6 +5,7 @@ import re
 
 import pytest
 
+from llm_fixtures import make_docs  # noqa: F401
 from paperloom.llm import chaining, ngram_join
 from paperloom.llm.graph import components
 

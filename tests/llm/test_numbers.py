@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from llm_fixtures import make_docs  # noqa: F401
 from paperloom.llm import bpe, mixing, topk
 from paperloom.llm.queries import word_bpe_path
 

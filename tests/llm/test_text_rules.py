@@ -6,6 +6,7 @@ import re
 import numpy as np
 import pytest
 
+from llm_fixtures import make_docs  # noqa: F401
 from paperloom.llm import license_scan, line_rules, quality_model, tool_calls, url_templates
 from paperloom.llm.queries import URL_RULES
 
