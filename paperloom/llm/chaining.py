@@ -7,6 +7,10 @@ n - 1 matches, not all pairs. Matches of a pair of documents on one diagonal mer
 into segments; a Fenwick tree over the other text's positions finds the best chain of
 segments that keep order in both, less a cost per word of gap. Chain ends and gaps
 are then aligned word by word, which lets a passage run over edits.
+
+Where a text repeats within a window its smallest gram is the same all along. Each
+such periodic stretch is one run with its length, and runs of the same words are
+matched as a whole, by their lengths.
 """
 
 from __future__ import annotations
@@ -19,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from paperloom.llm.bytetext import FOLD, pieces, windows, words
+from paperloom.llm.bytetext import FOLD, mix, pieces, windows, words
 from paperloom.llm.graph import written
 
 #: Words of a seed, seeds per winnowing window, words aligned beyond a chain's end, largest gap within a chain.
@@ -31,26 +35,81 @@ LEAST = 50
 
 
 def winnow(grams: np.ndarray) -> np.ndarray:
-    """Positions of the smallest gram of every window, the first of equal ones in a row."""
+    """Positions of the smallest gram of every window, the first of equal ones in a window."""
     if len(grams) > WINDOW:
         view = np.lib.stride_tricks.sliding_window_view(grams, WINDOW)
-        at = np.unique(view.argmin(1) + np.arange(len(view)))
-    else:
-        at = np.array([grams.argmin()]) if len(grams) else np.zeros(0, np.int64)
-    return at[np.diff(grams[at], prepend=grams[at][:1] ^ np.uint64(1)) != 0]
+        return np.unique(view.argmin(1) + np.arange(len(view)))
+    return np.array([grams.argmin()]) if len(grams) else np.zeros(0, np.int64)
 
 
-def _seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for lo, hi, data, offsets in pieces(batch.column(1)):
-            w = words(data, offsets, fold=FOLD)
-            grams = windows(w.hash, K)
-            at = [winnow(grams[w.first[d] : max(w.first[d], w.first[d + 1] - K + 1)]) for d in range(hi - lo)]
-            sizes = [len(x) for x in at]
-            spots = np.concatenate(at).astype(np.int64)
-            values = grams[spots + np.repeat(w.first[:-1], sizes)].view(np.int64) if len(spots) else np.zeros(0, np.int64)
-            ids = batch.column(0).slice(lo, hi - lo).take(pa.array(np.repeat(np.arange(hi - lo), sizes)))
-            yield pa.RecordBatch.from_arrays([ids, pa.array(values), pa.array(spots.astype(np.int32))], names=["id", "h", "pos"])
+def periods(hashes: np.ndarray, at: np.ndarray, step: np.ndarray) -> list[tuple[int, int, int, int]]:
+    """Distinct stretches ``first, lo, hi, d`` of period ``d`` words around seeds ``at`` that repeat ``step`` words before.
+
+    ``first`` is the earliest place in the stretch that looks like the seed.
+    """
+    out = set()
+    for d in np.unique(step).tolist():
+        differ = np.flatnonzero(hashes[:-d] != hashes[d:])
+        for q in (at[step == d] - d).tolist():
+            k = int(np.searchsorted(differ, q))
+            lo = int(differ[k - 1]) + 1 if k else 0
+            hi = int(differ[k]) + d if k < len(differ) else len(hashes)
+            out.add((lo + (q - lo) % d, lo, hi, d))
+    return sorted(out)
+
+
+def text_seeds(hashes: np.ndarray, grams: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Seeds of one text: hashes, positions, and rows ``left, size, period`` of a run, else zeros.
+
+    A seed equal to the one before is told apart by the words between them, so it
+    drops out only where the text is periodic. Such a stretch has the grams that
+    hold the word before it and the word after it as seeds, each with one WINDOW
+    words further in, and, from ``least`` words on, is one run of ``size`` words,
+    ``left`` of them before its position.
+    """
+    at = winnow(grams)
+    value = grams[at]
+    again = np.flatnonzero(value[1:] == value[:-1]) + 1
+    if not len(again):
+        return value, at, np.zeros((len(at), 3), np.int32)
+    step = at[again] - at[again - 1]
+    between = np.where(step > K, grams[np.maximum(at[again] - K, 0)], np.uint64(0))
+    key = value.copy()
+    key[again] = mix(value[again] + mix(between + step.astype(np.uint64)))
+    fresh = np.ones(len(at), bool)
+    fresh[1:] = key[1:] != key[:-1]
+    heads = fresh[again]
+    edges, runs = [], []
+    for first, lo, hi, d in periods(hashes, at[again[heads]], step[heads]):
+        if hi - lo >= K + WINDOW:
+            edges += [(x, y) for x, y in ((lo - 1, lo + WINDOW), (hi - K + 1, hi - K - WINDOW)) if 0 <= x < len(grams)]
+        if hi - lo >= least:
+            runs.append((first, first - lo, hi - lo, d))
+    edge, inner = np.array(edges, np.int64).reshape(-1, 2).T
+    runs = np.array(runs, np.int64).reshape(-1, 4)
+    values = np.concatenate([key[fresh], grams[edge], mix(grams[edge] + mix(grams[inner])), mix(grams[runs[:, 0]] + runs[:, 3].astype(np.uint64))])
+    spots = np.concatenate([at[fresh], edge, inner, runs[:, 0]])
+    extra = np.zeros((len(spots), 3), np.int32)
+    extra[len(spots) - len(runs) :] = runs[:, 1:]
+    return values, spots, extra
+
+
+def _seeds(least: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi, data, offsets in pieces(batch.column(1)):
+                w = words(data, offsets, fold=FOLD)
+                grams = windows(w.hash, K)
+                found = []
+                for d in range(hi - lo):
+                    a, b = int(w.first[d]), int(w.first[d + 1])
+                    found.append(text_seeds(w.hash[a:b], grams[a : max(a, b - K + 1)], least))
+                values, spots, extra = (np.concatenate(x) for x in zip(*found))
+                ids = batch.column(0).slice(lo, hi - lo).take(pa.array(np.repeat(np.arange(hi - lo), [len(x[1]) for x in found])))
+                columns = [pa.array(values.view(np.int64)), pa.array(spots.astype(np.int32)), *(pa.array(np.ascontiguousarray(x)) for x in extra.T)]
+                yield pa.RecordBatch.from_arrays([ids, *columns], names=["id", "h", "pos", "left", "size", "period"])
+
+    return run
 
 
 class Fenwick:
@@ -214,6 +273,24 @@ def _align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("id", "other", "chain", "k", "d0", "d1", "right")), pa.array(more.astype(np.int64))], names=["id", "other", "chain", "k", "d0", "d1", "right", "more"])
 
 
+def _run_spans(runs: DataFrame, least: int) -> DataFrame:
+    """``id, other, start, end``: periodic stretches that the smallest document with such a stretch covers.
+
+    A stretch is covered but for the words at its ends that no ``least`` words of
+    the other one reach in step with its period.
+    """
+    heads = runs.groupBy("h").agg(F.min(F.struct("id", -F.col("size"), "left")).alias("head"), F.max("id").alias("last")).where("head.id < last")
+    heads = heads.select("h", F.col("head.id").alias("other"), (-F.col("head.col2")).alias("whole"), F.col("head.left").alias("before"))
+    met = runs.join(heads.hint("merge"), "h").where("id <> other")
+    after = lambda size, left: (size - left - K) % F.col("period")
+    lost = lambda shift: F.when(F.col("whole") - shift >= least, 0).otherwise(F.col("period") - shift)
+    head = lost(F.pmod(F.col("before") - F.col("left"), F.col("period")))
+    tail = lost(F.pmod(after(F.col("whole"), F.col("before")) - after(F.col("size"), F.col("left")), F.col("period")))
+    start = F.col("pos") - F.col("left")
+    spans = met.select("id", "other", (start + head).cast("long").alias("start"), (start + F.col("size") - tail).cast("long").alias("end"))
+    return spans.where(F.col("end") - F.col("start") >= least)
+
+
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST) -> DataFrame:
     """``id, start, end, other_id``: spans of words of ``id`` that repeat a passage of a document with a smaller id.
 
@@ -225,8 +302,9 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     does not count.
     """
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).where("id is not null")
-    seeds = source.mapInArrow(_seeds, "id long, h long, pos int")
-    seeds = written(seeds, "seeds")
+    seeds = written(source.mapInArrow(_seeds(least), "id long, h long, pos int, left int, size int, period int"), "seeds")
+    runs = _run_spans(seeds.where("size > 0"), least)
+    seeds = seeds.where("size = 0").select("id", "h", "pos")
     # The smallest document of each shared seed; merge joins at every size.
     heads = seeds.groupBy("h").agg(F.min(F.struct("id", "pos")).alias("head"), F.max("id").alias("last")).where("head.id < last")
     heads = heads.select("h", F.col("head.id").alias("other"), F.col("head.pos").alias("spot"))
@@ -247,6 +325,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     found = both.mapInArrow(_align, "id long, other long, chain long, k long, d0 long, d1 long, right int, more long")
     spans = found.groupBy("id", "other", "chain", "k", "d0", "d1").agg(F.max(F.when(F.col("right") == 0, F.col("more"))).alias("l"), F.max(F.when(F.col("right") == 1, F.col("more"))).alias("r"))
     spans = spans.select("id", "other", (F.col("d0") - F.coalesce("l", F.lit(0))).alias("start"), (F.col("d1") + F.coalesce("r", F.lit(0))).alias("end"))
+    spans = spans.union(runs)
     order = W.partitionBy("id").orderBy("start", F.col("end").desc(), "other")
     reach = F.max("end").over(order.rowsBetween(W.unboundedPreceding, -1))
     fresh = (F.col("start") > F.coalesce(reach, F.lit(-1))).cast("int")

@@ -148,3 +148,54 @@ def test_chain_keeps_the_best_order():
 
     segs = np.array([[0, 20, 0, 20], [25, 45, 24, 44], [25, 40, 200, 215], [50, 60, 48, 58]])
     assert chaining.chains(segs) == [[0, 1, 3], [2]]
+
+
+def passages_of(docs):
+    return sorted((r["id"], r["start"], r["end"], r["other_id"]) for r in chaining.repeated_passages(docs).collect())
+
+
+def test_passages_of_periodic_text(spark, make_docs):
+    rng = random.Random(12)
+    rows = [(41, ["und"] * 400), (42, ["und"] * 300), (43, ["et"] * 40), (44, ["et"] * 300)]
+    want = [(42, 0, 300, 41)]
+    for k, d in enumerate((1, 2, 3, 7, 8, 9, 13, 15, 16)):
+        part, i = [f"p{k}x{j}" for j in range(d)], 100 + 10 * k
+        turned = part[d // 2 :] + part[: d // 2]
+        rows += [(i, prose(rng, 30) + (part * 300)[:200] + prose(rng, 30)), (i + 1, prose(rng, 40) + (turned * 400)[:149] + prose(rng, 20)), (i + 2, (turned * 400)[:400])]
+        rows += [(i + 3, prose(rng, 9) + part * (49 // d))]
+        want += [(i + 1, 40, 189, i), (i + 2, 0, 400, i)]
+    found = passages_of(make_docs([(i, " ".join(ws)) for i, ws in rows]))
+    assert found == want
+
+
+def test_passage_that_leaves_a_periodic_stretch(spark, make_docs):
+    rng = random.Random(13)
+    rows, want = [], []
+    for k, d in enumerate((1, 5, 8, 12, 16)):
+        part, i = [f"q{k}x{j}" for j in range(d)], 10 * k
+        for j, more in enumerate((10, 40)):
+            tail = prose(rng, more)
+            rows += [(i + 2 * j, prose(rng, 30) + (part * 300)[-45:] + tail + prose(rng, 30)), (i + 2 * j + 1, prose(rng, 30) + (part * 300)[-300:] + tail)]
+            want.append((i + 2 * j + 1, 330 - 45, 330 + more, i + 2 * j))
+    found = {r[0]: r for r in passages_of(make_docs([(i, " ".join(ws)) for i, ws in rows]))}
+    for i, a, b, of in want:
+        assert found[i][1] <= a + 3 and found[i][2] == b and found[i][3] <= i, (i, a, b, of, found.get(i))
+
+
+def test_passage_of_equal_seeds_with_words_between(spark, make_docs):
+    """Fixed words every 16 that hold the smallest gram of all windows, other words between."""
+    import numpy as np
+
+    from paperloom.llm.bytetext import windows, words
+
+    def least_gram(n):
+        ws = prose(random.Random(n), K)
+        raw = np.frombuffer(" ".join(ws).encode(), np.uint8)
+        return int(windows(words(raw, np.array([0, len(raw)])).hash, K)[0]), ws
+
+    K = chaining.K
+    head = min(map(least_gram, range(3000)))[1]
+    rng = random.Random(14)
+    shared = sum((head + prose(rng, 8) for _ in range(8)), [])
+    docs = make_docs([(1, " ".join(prose(rng, 30) + shared)), (2, " ".join(prose(rng, 12) + shared + prose(rng, 20)))])
+    assert passages_of(docs) == [(2, 12, 12 + len(shared), 1)]
