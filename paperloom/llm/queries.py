@@ -143,7 +143,7 @@ URL_RULES = [
 @query("op3_url_templates")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule and verdict of every page's url."""
-    found = url_templates.url_verdicts(table(spark, sf_dir, "pages"), URL_RULES)
+    found = url_templates.url_verdicts(table(spark, sf_dir, "pages"), URL_RULES, by_test=True)
     return found.withColumnRenamed("id", "page_id")
 
 

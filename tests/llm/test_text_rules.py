@@ -100,6 +100,24 @@ def test_url_templates(spark):
     assert [r["verdict"] for r in url_templates.url_verdicts(df.where("page_id in (0, 2)").selectExpr("cast(null as long) page_id", "url"), URL_RULES).collect()] == ["allow", "allow"]
 
 
+def test_url_verdict_does_not_depend_on_the_number_of_siblings(spark, tmp_path):
+    """The registered query at 49 to 90 sections beside a blocked one."""
+    from paperloom.llm.queries import op3
+
+    names = ["s" + "abcdefghij"[i // 10] + "abcdefghij"[i % 10] for i in range(90)]
+    urls = [f"http://h{k}.net/es/{'p' * (1 + i % 9)}{'q' * (i // 9)}" for k in (49, 50, 51, 90) for i in range(200)]
+    clean = [f"http://h{k}.net/{s}/{page}" for k in (49, 50, 51, 90) for s in names[:k] for page in ("p", "ppp")]
+    rows = [(i, u) for i, u in enumerate(urls + clean)]
+    spark.createDataFrame(rows, "page_id long, url string").write.parquet(str(tmp_path / "pages.parquet"))
+    got = {r["page_id"]: r for r in op3(spark, str(tmp_path)).collect()}
+    assert len(got) == len(rows)
+    a, b = len(urls), len(urls) + len(clean)
+    assert {got[i]["verdict"] for i in range(a)} == {"block"}
+    assert {got[i]["verdict"] for i in range(a, b)} == {"allow"}
+    assert {round(got[i]["purity"], 6) for i in range(a, b)} == {0.1}
+    assert all(got[i]["template"] in ("//*/p", "//*/ppp") for i in range(a, b) if ".net" in rows[i][1] and got[i]["host"] in ("h51.net", "h90.net"))
+
+
 # license scan
 
 
