@@ -1,6 +1,7 @@
 """License scan: exact containment join of text blocks with license templates.
 
-Blocks are the lines of a text. Template words are put in one global order, rarest
+Blocks are the lines of a text and, with ``across``, overlapping runs of words over
+the whole text, so that a notice wrapped over lines lies within one. Template words are put in one global order, rarest
 first by the number of documents that hold them. A block that contains at least
 ``c`` of a template's ``m`` distinct words must hold one of its ``m - c + 1`` rarest
 (prefix filter), must have ``c`` distinct words at all (length filter), and, if the
@@ -48,13 +49,15 @@ def needed(m: int, percent: int) -> int:
     return -(-percent * m // 100)
 
 
-def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrases=PHRASES, templates=TEMPLATES, percent: int = CONTAINMENT) -> tuple[DataFrame, DataFrame]:
+def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrases=PHRASES, templates=TEMPLATES, percent: int = CONTAINMENT, across: bool = False) -> tuple[DataFrame, DataFrame]:
     """Two tables: per row its scan, and every block that meets a template.
 
     The first has ``id, n_words, n_base, first_word, last_word, base_labels,
     labels, score``; ``score`` is the largest containment found, 1 for a phrase, 0
     for none. The second has ``id, block`` (line from 0, with its row's ``uid``),
-    ``label, containment``. Null and empty texts have no words, places or blocks.
+    ``label, containment``. With ``across`` the runs of texts of several lines are
+    blocks too, numbered down from -1: twice as many words as the longest template,
+    each half a run after the one before. Null and empty texts have no words, places or blocks.
     Each row is scanned by itself, so null and repeated ids come back as they are.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
@@ -77,7 +80,13 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     body = body.select("id", "text", "spaced", n_words.alias("n_words"))
     scanned = body.select("id", "text", "n_words", F.array(*places).alias("places"))
     # Of a line only template words matter; lines with fewer than the least threshold meet none.
-    lines = F.transform(F.split("text", "\n"), lambda line, i: F.struct(i.alias("block"), F.array_intersect(F.array_distinct(F.split(F.regexp_replace(line, BETWEEN, " "), " ")), F.array(*map(F.lit, vocabulary))).alias("words")))
+    held_words = lambda ws: F.array_intersect(F.array_distinct(ws), F.array(*map(F.lit, vocabulary))).alias("words")
+    lines = F.transform(F.split("text", "\n"), lambda line, i: F.struct(i.alias("block"), held_words(F.split(F.regexp_replace(line, BETWEEN, " "), " "))))
+    if across:
+        half = max(len(t.split(" ")) for _, t in templates)
+        scanned = scanned.withColumn("run_words", F.when(F.contains("text", F.lit("\n")), F.split(F.trim(F.regexp_replace("text", BETWEEN, " ")), " ")).otherwise(F.array().cast("array<string>")))
+        starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil((F.size("run_words") - half) / F.lit(half)).cast("int") - 1))
+        lines = F.concat(lines, F.transform(starts, lambda i: F.struct((-1 - i).alias("block"), held_words(F.slice("run_words", i * half + 1, F.lit(2 * half))))))
     least = min(needed(len(ws), percent) for _, ws in sets)
     held = scanned.select("id", "n_words", "places", F.filter(lines, lambda b: F.size(b["words"]) >= least).alias("blocks"))
     held = written(held.withColumn("uid", F.monotonically_increasing_id()), "license-blocks")

@@ -175,7 +175,7 @@ FROM w LEFT JOIN b USING (doc_id) LEFT JOIN a USING (doc_id) LEFT JOIN s USING (
 @query("op4_license_scan", _op4_sql())
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License phrases and template blocks of every document."""
-    return license_scan.license_scan(table(spark, sf_dir, "documents"))[0].withColumnRenamed("id", "doc_id")
+    return license_scan.license_scan(table(spark, sf_dir, "documents"), across=True)[0].withColumnRenamed("id", "doc_id")
 
 
 #: The tool that the chat query sees in each question.

@@ -154,6 +154,26 @@ def test_license_scan(spark, make_docs):
     assert license_scan.license_scan(docs.where("false"))[0].count() == 0
 
 
+def test_license_notice_wrapped_over_lines(spark, tmp_path):
+    from paperloom.llm.queries import op4
+
+    rng = random.Random(11)
+    rows, want = [], {}
+    for label, template in license_scan.TEMPLATES:
+        for before in (0, 1, 16, 17, 18, 33, 34, 50):
+            ws = template.split(" ")
+            wrapped = "".join(w + rng.choice([" ", "\n", "\n * "]) for w in ws[:-1]) + ws[-1] + "\n"
+            rows.append((len(rows), "\n".join(["filler text"] * (before // 2) + ["odd"] * (before % 2)) + "\n" + wrapped + "more " * (before % 5)))
+            want[len(rows) - 1] = label
+    rows += [(900, "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation"), (901, None), (902, ""), (903, "\n"), (904, " \n\n ")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["doc_id"]: r for r in op4(spark, str(tmp_path)).collect()}
+    assert len(got) == len(rows)
+    assert all(label in got[i]["labels"].split(",") and got[i]["score"] == 1 for i, label in want.items())
+    assert got[900]["labels"] == "mit"
+    assert all(got[i]["labels"] == "" and got[i]["score"] == 0 for i in (901, 902, 903, 904))
+
+
 # line rules
 
 
