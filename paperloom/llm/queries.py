@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperloom.llm import bpe, chaining, license_scan, line_rules, mixing, ngram_join, quality_model, tool_calls, topk, url_templates
+from paperloom.llm import bpe, chaining, license_scan, line_rules, mixing, ngram_join, quality_model, token_files, tool_calls, topk, url_templates, word_runs
+from paperloom.session import work_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -274,3 +275,46 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Passages of 50 words or more that repeat one of a document with a smaller id."""
     found = chaining.repeated_passages(table(spark, sf_dir, "documents"))
     return found.withColumnRenamed("id", "doc_id").withColumnRenamed("other_id", "other_doc_id")
+
+
+#: Id that ends each document in the token files.
+END_ID = 2
+
+
+@query("op12_token_orc")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Offsets, lengths and checksums of all documents' ids, from the ORC files written and read back."""
+    path = work_path(spark, "token-files")
+    token_files.write_tokens(table(spark, sf_dir, "documents"), path, word_bpe_path(), END_ID)
+    return token_files.checksums(token_files.read_tokens(spark, path))
+
+
+def replayed(docs: DataFrame) -> DataFrame:
+    """``doc_id, text``; texts whose id has a crc32 divisible by ten repeat a part of their words up to the end."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    rows = docs.select("doc_id", "text", h.alias("h"), F.floor(h / 10).alias("g"), F.when(h % 10 == 0, words).alias("ws"))
+    n = F.size("ws")
+    rows = rows.withColumn("a", F.when(n > 0, F.col("g") % n).cast("int"))
+    rows = rows.withColumn("p", (1 + F.floor((n - F.col("a")) / (3 + F.col("g") % 8))).cast("int"))
+    at = lambda i: F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p"))
+    again = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get("ws", at(i)))
+    return rows.select("doc_id", F.when(F.col("a").isNotNull(), F.array_join(again, " ")).otherwise(F.col("text")).alias("text"))
+
+
+@query("op13_word_runs")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number, longest and digest of the runs of every document's words, and a digest of the words kept."""
+    found = word_runs.word_runs(replayed(table(spark, sf_dir, "documents")))
+    order = lambda r: F.struct(r["length"].alias("a"), (-r["start"]).alias("b"), (-r["period"]).alias("c"))
+    top = F.array_max(F.transform("runs", lambda r: F.struct(order(r).alias("order"), r.alias("run"))))["run"]
+    lines = F.transform("runs", lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n")))
+    rows = found.withColumn("top", top)
+    return rows.select(
+        F.col("id").alias("doc_id"),
+        F.size("runs").cast("long").alias("n_runs"),
+        *[F.col(f"top.{c}").alias(c) for c in ("start", "length", "period")],
+        F.floor(1000 * F.col("top.length") / F.col("top.period")).cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
