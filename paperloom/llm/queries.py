@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperloom.llm import bpe, chaining, license_scan, line_rules, mixing, ngram_join, quality_model, token_files, tool_calls, topk, url_templates, word_runs
+from paperloom.llm import bpe, chaining, hard_negatives, license_scan, line_rules, mixing, ngram_join, quality_model, token_files, tool_calls, topk, url_templates, word_runs
 from paperloom.session import work_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -277,6 +277,31 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "doc_id").withColumnRenamed("other_id", "other_doc_id")
 
 
+OP11 = """
+WITH r AS (
+  SELECT vec_id, CAST(CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS VARCHAR) AS label, embedding AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+v AS (SELECT vec_id, label, list_transform(e, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM r),
+p AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, CAST(list_inner_product(CAST(a.e AS DOUBLE[]), CAST(c.e AS DOUBLE[])) AS BIGINT) AS score
+  FROM v a JOIN v c ON a.vec_id % 100 = 0 AND a.vec_id <> c.vec_id),
+pos AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS n FROM p WHERE same) WHERE n <= 5),
+neg AS (
+  SELECT pos.anchor_id, pos.vec_id AS positive_id, p.vec_id AS negative_id, pos.score AS positive_score, p.score AS negative_score,
+    row_number() OVER (PARTITION BY pos.anchor_id, pos.vec_id ORDER BY p.score DESC, p.vec_id) AS rank
+  FROM pos JOIN p ON pos.anchor_id = p.anchor_id AND NOT p.same AND 30 * pos.score <= 100 * p.score AND 100 * p.score <= 90 * pos.score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM neg WHERE rank <= 10
+"""
+
+
+@query("op11_hard_negatives", OP11)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten hard negatives for each of the five positives of every hundredth vector."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, label)
+
+
 #: Id that ends each document in the token files.
 END_ID = 2
 
