@@ -142,13 +142,17 @@ def library():
     return t
 
 
-def test_cut_keeps_every_character_and_id(library):
-    text = "uń deux's ΑΣ Σ　x" * 3 + " word" * 50 + " " * 9 + "y" * 40 + " <|endoftext|> z"
-    for limit in (1, 7, 30, 1000):
-        parts = token_files.cut(text, limit)
-        assert "".join(parts) == text
-        ids = [i for e in library.encode_batch(parts, add_special_tokens=False) for i in e.ids]
-        assert ids == library.encode(text, add_special_tokens=False).ids
+def test_words_give_the_ids_of_the_text(library, monkeypatch):
+    """Ids of words in a row are those of the text, with words remembered or forgotten."""
+    monkeypatch.setattr(token_files, "WORDS", 20)
+    rng = random.Random(8)
+    bits = ["uń", "deux's", "ΑΣ", "Σ　x", "e\u0301", "\u0301", "\x1c", "\x85a", "\x0b", "\t", "\r", "<|endoftext|>", "a<|startoftext|>'S", "İ", "...", "!?", "👍🏽", "9", "x" * 90, "Straße,", "ŉa.)", "ǅ", "don't'", "ab<|", "ABC!!", "ÉÀ", "e-", "İstanbul.", "\u3000", "日本"]
+    encoder = token_files.WordEncoder(queries.word_bpe_path())
+    for _ in range(200):
+        texts = ["".join(rng.choice([*bits, " ", " ", "\n", "  "]) for _ in range(rng.randint(0, 40))) for _ in range(5)]
+        for text, ids in zip(texts, encoder.encode(texts)):
+            assert np.frombuffer(ids, np.int32).tolist() == library.encode(text, add_special_tokens=False).ids
+    assert len(encoder.new) <= 20 + 300 and all(len(w) <= token_files.LONG for w in encoder.new)
 
 
 def test_token_files(spark, make_docs, library, monkeypatch):
