@@ -163,7 +163,7 @@ def e1_assemble(spark, sf_dir):
     docs = papers_from(cites(spark, sf_dir), "<TEI><body>", line, "</body><back><listBibl>", bib, "</listBibl></back></TEI>")
     tokens = tokens_of(docs)
     bibs = tei_bibliography(tokens).select("doc_id", C.tei_key(F.col("bib_id")).alias("key"), "pos", "title", "year", "venue")
-    laid = C.cited_paragraphs(C.linked_pieces(C.paragraph_pieces(tokens), bibs)).withColumnRenamed("para_pos", "pos")
+    laid = C.cited_paragraphs(C.keyed_units(C.paragraph_pieces(tokens), bibs)).withColumnRenamed("para_pos", "pos")
     numbered = S.number_paragraphs(laid).withColumn("part", F.lit("body_text"))
     # Spans stay with their paragraph, so nothing has to be joined again.
     only = lambda k: F.transform(F.filter("spans", lambda s: s["kind"] == k), lambda s: s.dropFields("kind"))

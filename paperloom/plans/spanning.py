@@ -41,16 +41,14 @@ def c2_citation_spans(spark, sf_dir):
     ref = text('<ref type="bibr" target="#b', F.col("n") - 1, '"> [{n}] </ref>')
     line = text("<p>Uses ", ref, ' for {q}.</p><p>seen ({p})<ref type="bibr">[{n}]</ref>.</p>')
     tokens = tokens_of(papers_from(cites(spark, sf_dir), "<TEI><body>", line, "</body><back><listBibl>", _bib(), "</listBibl></back></TEI>"))
-    keys = C.bibliography_keys(tokens)
-    paras = C.cited_paragraphs(C.linked_pieces(C.paragraph_pieces(tokens), keys))
-    return C.span_rows(paras, "para_text").select("doc_id", "para_text", "start", "end", "text", "ref_id")
+    return C.span_rows(C.cited_paragraphs(C.cited_units(tokens)), "para_text").select("doc_id", "para_text", "start", "end", "text", "ref_id")
 
 
 @query("c3_bracket_style", f"WITH {CITES} SELECT doc_id, 2 * count(*) FILTER (p % 2 = 0 AND n <= 999) > 5 AS bracket FROM cites GROUP BY doc_id")
 def c3_bracket_style(spark, sf_dir):
     head = F.when(F.col("p") % 2 == 1, "<head>H</head>").otherwise("")
     line = text("<div><div>", head, '<p><ref type="bibr">[{n}]</ref> <ref type="bibr" target="#b0">[{n}, 9]</ref><ref type="bibr">{n}</ref><ref>[1]</ref></p></div></div>')
-    return C.bracket_style(tokens_of(papers_from(cites(spark, sf_dir), "<TEI><body>", line, "</body></TEI>")))
+    return C.bracket_style(tokens_of(papers_from(cites(spark, sf_dir), "<TEI><body>", line, "</body></TEI>")), C.MORE_THAN, C.DIGITS)
 
 
 @query(
@@ -68,8 +66,7 @@ def c4_bracket_filter(spark, sf_dir):
         *['<ref type="bibr">[{n}]</ref>'] * 3, "</p></div>",
     )
     tokens = tokens_of(papers_from(cites(spark, sf_dir), "<TEI><body>", line, "</body><back><listBibl>", _bib(), "</listBibl></back></TEI>"))
-    keys = C.bibliography_keys(tokens)
-    paras = C.cited_paragraphs(C.linked_pieces(C.paragraph_pieces(tokens), keys), C.bracket_style(tokens))
+    paras = C.cited_paragraphs(C.cited_units(tokens, style=True), None, C.MORE_THAN, C.WIDEST, C.DIGITS)
     return C.span_rows(paras).select("doc_id", "start", "end", "text", "ref_id")
 
 
@@ -102,8 +99,7 @@ def c6_range_expansion(spark, sf_dir):
     line = text('<p>In <ref type="bibr" target="#b', first, '">[{n}]</ref>-<ref type="bibr" target="#b', last, '">[', last + 1, "]</ref> now</p>")
     bib = text(*[x for i in (first, last) for x in ('<biblStruct xml:id="b', i, '"><title>T</title></biblStruct>')])
     tokens = tokens_of(papers_from(rows, "<TEI><body><div>", line, "</div></body><back><listBibl>", bib, "</listBibl></back></TEI>"))
-    keys = C.bibliography_keys(tokens)
-    paras = C.cited_paragraphs(C.linked_pieces(C.paragraph_pieces(tokens), keys), C.bracket_style(tokens))
+    paras = C.cited_paragraphs(C.cited_units(tokens, style=True), None, C.MORE_THAN, C.WIDEST, C.DIGITS)
     return C.span_rows(paras).select("doc_id", "start", "end", "text", "ref_id")
 
 
@@ -120,8 +116,7 @@ def c7_figure_table_spans(spark, sf_dir):
         F.when(F.col("p") % 2 == 0, text('<figure type="table" xml:id="tab_{n}"></figure>')).otherwise(""),
     )
     tokens = tokens_of(papers_from(cites(spark, sf_dir), "<TEI><body>", line, "</body></TEI>"))
-    pieces = C.linked_pieces(C.paragraph_pieces(tokens), C.bibliography_keys(tokens), C.entry_keys(tokens))
-    return C.span_rows(C.cited_paragraphs(pieces), "para_text").select("doc_id", "para_text", "start", "end", "text", "ref_id")
+    return C.span_rows(C.cited_paragraphs(C.cited_units(tokens)), "para_text").select("doc_id", "para_text", "start", "end", "text", "ref_id")
 
 
 @query(
@@ -331,7 +326,7 @@ def c18_integrity_holds(spark, sf_dir):
     # Every span a paragraph layout makes reads back its own surface.
     line = text('<p>A<ref type="bibr" target="#b{n}"> [{n}]</ref>  b <i>{q}</i></p>')
     tokens = tokens_of(papers_from(cites(spark, sf_dir), "<body>", line, "</body>"))
-    paras = C.cited_paragraphs(C.linked_pieces(C.paragraph_pieces(tokens), C.bibliography_keys(tokens)))
+    paras = C.cited_paragraphs(C.keyed_units(C.paragraph_pieces(tokens), C.bibliography_keys(tokens)))
     spans = P.span_checks(C.span_rows(paras, "para_text").withColumnRenamed("text", "surface"), C.PARA)
     return spans.agg(F.count("*").alias("spans"), F.count("reason").alias("violations"))
 

@@ -106,11 +106,11 @@ def test_sentences_fall_back_to_the_paragraph(spark):
 # citations
 
 
-def cited(spark, body, known=range(30), style=True):
+def cited(spark, body, known=range(30), style=True, widest=C.WIDEST, digits=C.DIGITS):
     t = T.tokenise(docs(spark, f"<p>{body}</p>"))
     keys = spark.createDataFrame([("0", f"BIBREF{i}") for i in known], "doc_id string, key string")
     st = spark.createDataFrame([("0", True)], "doc_id string, bracket boolean") if style else None
-    paras = C.cited_paragraphs(C.linked_pieces(C.paragraph_pieces(t), keys), st)
+    paras = C.cited_paragraphs(C.keyed_units(C.paragraph_pieces(t), keys), st, widest=widest, digits=digits)
     spans = C.span_rows(paras, "para_text").orderBy("start").collect()
     for s in spans:
         assert s.para_text[s.start : s.end] == s.text
@@ -149,6 +149,32 @@ def test_too_wide_or_not_a_mark(spark):
     assert len(cited(spark, f"{ref(1)}-<i>x</i>{ref(4)}")[0]) == 2
 
 
+def test_limits_are_arguments(spark):
+    wide = cited(spark, f"{ref(1)}-{ref(24)}", widest=None)[0]
+    assert wide == [(f"[{i + 1}]", f"BIBREF{i}") for i in range(24)]
+    far = [9998, 10001]
+    assert len(cited(spark, f"{ref(9999)}-{ref(10002)}", known=far)[0]) == 2
+    assert cited(spark, f"{ref(9999)}-{ref(10002)}", known=far, digits=None)[0] == [("[9999]", "BIBREF9998"), ("[10000]", None), ("[10001]", None), ("[10002]", "BIBREF10001")]
+
+
+def test_units_of_one_pass(spark):
+    """Keys, pieces and style from the same tokens; a title inside a paragraph counts for both."""
+    item = lambda i, title: f'<biblStruct xml:id="b{i}"><title>{title}</title></biblStruct>'
+    cites = "".join(f'<div><p>{ref(n)}{"-" + ref(n + 2) if n == 1 else ""} <ref type="figure" target="#fig_0">F</ref></p></div>' for n in range(1, 8))
+    x = f'<t>{cites}<p>{item(0, "A")}</p>{item(1, "B")}{item(2, "C")}{item(3, "")}<biblStruct><title>N</title></biblStruct><figure xml:id="fig_0"/><ref type="bibr">[9]</ref></t>'
+    y = x.replace("<div><p>", "<div><head>H</head><p>")
+    t = T.tokenise(docs(spark, x, y))
+    units = C.cited_units(t, style=True)
+    assert rows(units.where("kind = 'key' and doc_id = '0'"), "key", "family") == [("BIBREF0", "bib"), ("BIBREF1", "bib"), ("BIBREF2", "bib"), ("FIGREF0", "entry")]
+    assert rows(C.bracket_style(t, C.MORE_THAN, C.DIGITS)) == [("0", True), ("1", False)]
+    got = C.span_rows(C.cited_paragraphs(units, None, C.MORE_THAN, C.WIDEST, C.DIGITS)).orderBy("para_pos", "start").collect()
+    first = lambda d: [(s.text, s.ref_id) for s in got if s.doc_id == d][:4]
+    assert first("0") == [("[1]", "BIBREF0"), ("[2]", "BIBREF1"), ("[3]", "BIBREF2"), ("F", "FIGREF0")]
+    assert first("1")[:3] == [("[1]", "BIBREF0"), ("[3]", "BIBREF2"), ("F", "FIGREF0")]
+    plan = C.cited_paragraphs(units, None, C.MORE_THAN)._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_set" not in plan and plan.count("LocalRelation") + plan.count("LogicalRDD") == 1
+
+
 def test_unlinked_breaks_the_range_and_loses_no_citation(spark):
     assert cited(spark, f"{ref(1)}-{ref(4)}", known=[0])[0] == [("[1]", "BIBREF0"), ("[4]", None)]
 
