@@ -40,7 +40,9 @@ def assemble(
     part, para_no, kind, start, end, text, ref_id`` (equation spans keep
     ``latex, math, raw_str, eq_num``, where given); ``bibs``: ``doc_id, key,
     …``; ``entries``: ``doc_id, ref_id, …``; ``authors``: ``doc_id, pos, …``.
-    Entries with a ``pos`` keep that order, others the order of their keys.
+    Entries with a ``pos`` keep that order, others the order of their keys; of
+    repeated keys the last stays, and rows without a key are left out
+    (``keyed_entries`` gives the rows that went).
     A paper is one row by definition, so it must fit a task; the long tables
     are the form for anything larger.
     """
@@ -62,12 +64,28 @@ def assemble(
         out = out.join(authors.groupBy("doc_id").agg(ordered_items(F.col("pos"), rows).alias("authors")), "doc_id", "left")
     for table, key, name in ((bibs, "key", "bib_entries"), (entries, "ref_id", "ref_entries")):
         if table is not None:
-            value = F.struct(*[c for c in table.columns if c not in ("doc_id", "pos", key)])
-            pairs = ordered_items(F.col("pos" if "pos" in table.columns else key), F.struct(F.col(key).alias("k"), value.alias("v")))
-            out = out.join(table.groupBy("doc_id").agg(F.map_from_entries(pairs).alias(name)), "doc_id", "left")
+            kept = keyed_entries(table, key)[0]
+            value = F.struct(*[c for c in kept.columns if c not in ("doc_id", "pos", key)])
+            pairs = ordered_items(F.col("pos" if "pos" in kept.columns else key), F.struct(F.col(key).alias("k"), value.alias("v")))
+            out = out.join(kept.groupBy("doc_id").agg(F.map_from_entries(pairs).alias(name)), "doc_id", "left")
     return out
 
 
+def keyed_entries(table: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """Rows of ``table`` fit for a map, and ``doc_id, key, reason`` of the
+    others. Of rows with one key in a document the last (by ``pos``, else by
+    content) stays; one that a later one replaces is a ``repeated_key``, one
+    without a key a ``missing_key``. A grouped maximum, so a key that comes very
+    often is combined ahead of the shuffle."""
+    rest = [c for c in table.columns if c not in ("doc_id", key)]
+    have = table.where(F.col(key).isNotNull())
+    turn = F.struct(F.col("pos") if "pos" in rest else F.lit(0), F.to_json(F.struct(*rest)))
+    best = have.groupBy("doc_id", key).agg(F.max_by(F.struct(*rest), turn).alias("_e"), F.count("*").alias("_n"))
+    missing = table.where(F.col(key).isNull()).select("doc_id", F.lit(None).cast("string").alias("key"), F.lit("missing_key").alias("reason"))
+    repeated = best.where("_n > 1").select("doc_id", F.col(key).alias("key"), F.explode(F.array_repeat(F.lit("repeated_key"), (F.col("_n") - 1).cast("int"))).alias("reason"))
+    return best.select("doc_id", key, "_e.*"), repeated.unionByName(missing)
+
+
 def entry_json(entry: Column) -> Column:
     """A reference entry with the keys of its type only; other types keep
     all. ``entry`` has the superset of fields, ``type`` among them."""

@@ -37,6 +37,8 @@ def sectioned_paragraphs(
     sec_id: Column | None = None,
     carry: bool = False,
     normalise=collapse_ws,
+    given: str | None = None,
+    names: DataFrame | None = None,
 ) -> DataFrame:
     """Paragraphs with the path of named sections around them.
 
@@ -45,14 +47,18 @@ def sectioned_paragraphs(
     ``section`` joins the names from the root down, ``sec_num`` is the number of
     the innermost named one, ``sec_id`` the id of the innermost, ``tag`` that of
     the paragraph element. With ``carry``
-    a paragraph outside every section stays with the last top-level one.
+    a paragraph outside every section stays with the last top-level one. A
+    column ``given`` names the paragraph of each token, where the tags alone do
+    not (see ``item_units``). ``names`` (``doc_id, pos, name``) are names of
+    sections that have no head.
 
     One pass brings tokens down to units (sections, heads, paragraphs). Then
     each unit looks at every level up to its own for the section opened last at
     that level, which is the one around it: no pairs, no joins, any depth.
     """
     secs = list(sections)
-    marked = within(nest_level(only(tokens, *secs, *paras, head), secs), _p=tuple(paras), _h=head)
+    marked = nest_level(only(tokens, *secs, *paras, head), secs)
+    marked = within(marked, _p=tuple(paras), _h=head) if given is None else within(marked, _h=head).withColumn("_p", F.col(given))
     is_sec = F.col("tag").isin(secs) & (F.col("kind") == "open")
     unit = F.coalesce("_p", "_h", F.when(is_sec, F.col("pos")))
     at_start = F.col("pos") == F.col("_unit")
@@ -79,6 +85,10 @@ def sectioned_paragraphs(
     own_head = F.min_by(F.struct("text", "_head_num"), F.when(direct, F.col("pos"))).over(W.partitionBy("doc_id", "nest", "_turn"))
     named = turn.withColumn("_head", own_head).where("what <> 'head'")
     name = F.regexp_replace(tidy(F.col("_head.text")), MARKERS, "")
+    if names is not None:
+        given_names = names.select("doc_id", "pos", F.lit("sec").alias("what"), blank_to_null(tidy(F.col("name"))).alias("_given_name"))
+        named = named.join(given_names, ["doc_id", "pos", "what"], "left")
+        name = F.coalesce(name, F.col("_given_name"))
     named = named.withColumn("_seat", F.when(sec_row, F.struct(F.coalesce("_num", "_head._head_num").alias("num"), name.alias("name"), "sec_id")))
     top = F.greatest("nest", F.lit(1)) if carry else F.col("nest")
     steps = named.select(
@@ -225,21 +235,29 @@ def back_units(tokens: DataFrame) -> DataFrame:
     return levelled.where("nest > 1").drop("nest")
 
 
-def section_names(tokens: DataFrame, tags: Iterable[str], limit: int = 50) -> DataFrame:
-    """Head text, else the leading pieces that are not paragraphs and are
-    shorter than ``limit``, up to the first that is not."""
-    marked = within(tokens, _sec=tuple(tags)).where("_sec is not null")
-    base = F.min(F.when(F.col("pos") == F.col("_sec"), F.col("depth"))).over(W.partitionBy("doc_id", "_sec"))
-    own_id = F.min(F.when(F.col("pos") == F.col("_sec"), attr(F.col("tok"), "id"))).over(W.partitionBy("doc_id", "_sec"))
-    marked = marked.withColumns({"_base": base, "sec_id": own_id}).where("depth > _base")
-    child_start = (F.col("depth") == F.col("_base") + 1) & F.col("kind").isin("open", "void", "text")
-    upto = W.partitionBy("doc_id", "_sec").orderBy("pos").rowsBetween(W.unboundedPreceding, 0)
-    marked = marked.withColumn("_child", F.sum(F.when(child_start, 1).otherwise(0)).over(upto))
+def section_names(tokens: DataFrame, tags: Iterable[str], limit: int | None = 50) -> DataFrame:
+    """``doc_id, pos, sec_id, name`` of every section at any depth: the head
+    directly inside, else the leading pieces that are not paragraphs and are
+    shorter than ``limit`` (a rule of the converter; None for any length), up to
+    the first that is not. A token belongs to each section around it."""
+    secs = list(tags)
+    is_sec = F.col("tag").isin(secs) & (F.col("kind") == "open")
+    marked = nest_level(tokens, secs).where("nest > 0")
+    steps = marked.withColumn("_lvl", F.explode(F.sequence(F.lit(1), "nest")))
+    upto = W.partitionBy("doc_id", "_lvl").orderBy("pos").rowsBetween(W.unboundedPreceding, 0)
+    own = F.struct("pos", "depth", attr(F.col("tok"), "id").alias("id"))
+    steps = steps.withColumn("_s", F.last(F.when(is_sec & (F.col("_lvl") == F.col("nest")), own), ignorenulls=True).over(upto))
+    marked = steps.where("depth > _s.depth").select("*", F.col("_s.pos").alias("_sec"), F.col("_s.id").alias("sec_id"))
+    child_start = (F.col("depth") == F.col("_s.depth") + 1) & F.col("kind").isin("open", "void", "text")
+    inside = W.partitionBy("doc_id", "_sec").orderBy("pos").rowsBetween(W.unboundedPreceding, 0)
+    marked = marked.withColumn("_child", F.sum(F.when(child_start, 1).otherwise(0)).over(inside))
     kids = marked.groupBy("doc_id", "_sec", "sec_id", "_child").agg(
         F.min(F.when(child_start, F.col("tag"))).alias("_tag"),
         F.trim(ordered_concat(F.col("pos"), F.col("text"))).alias("_text"),
     )
-    stop = (F.length("_text") >= limit) | (F.coalesce(F.col("_tag"), F.lit("")) == "p")
+    stop = F.coalesce(F.col("_tag"), F.lit("")) == "p"
+    if limit is not None:
+        stop |= F.length("_text") >= limit
     prior = W.partitionBy("doc_id", "_sec").orderBy("_child").rowsBetween(W.unboundedPreceding, 0)
     kids = kids.withColumn("_stopped", F.max(stop).over(prior))
     return kids.groupBy("doc_id", F.col("_sec").alias("pos"), "sec_id").agg(
@@ -266,16 +284,72 @@ def section_texts(tokens: DataFrame, tags: Iterable[str], head: str = "head") ->
     return texts.where("_depth = _sec.depth + 1").groupBy("doc_id", F.col("_sec.pos").alias("pos")).agg(F.min_by("_name", "_h").alias("name"))
 
 
-def list_items(items: DataFrame, text: str = "item_text", number: str = "list_num") -> DataFrame:
+def list_items(items: DataFrame, text: str = "item_text", number: str = "list_num", is_item: Column | None = None) -> DataFrame:
     """B15, text side: settings items (``[…]``) are dropped, numbered ones get
-    ``n. `` in front; ``shift`` is what spans in them must move by."""
+    ``n. `` in front; ``shift`` is what spans in them must move by. Rows that
+    are not items (``is_item``) stay as they are."""
     prefix = F.when(F.col(number).isNotNull(), F.concat(F.col(number), F.lit(". "))).otherwise("")
     trimmed = F.trim(text)
-    return items.where(~(trimmed.startswith("[") & trimmed.endswith("]"))).withColumns(
+    setting = trimmed.startswith("[") & trimmed.endswith("]")
+    return items.where(~setting if is_item is None else ~setting | ~is_item).withColumns(
         {"para_text": F.concat(prefix, F.col(text)), "shift": F.length(prefix)}
     )
 
 
+def item_units(tokens: DataFrame, paras: Iterable[str]) -> DataFrame:
+    """Add ``para_at``, the position of the paragraph of each token. That is
+    the outermost of ``paras``, unless an ``item`` stands around it: then the
+    innermost item, so that an item in a list in an item is a paragraph of its
+    own. The item opened last at a token's level of items is the one around it."""
+    marked = within(nest_level(tokens, ["item"], "_deep"), _outer=tuple(paras), _top="item")
+    level = W.partitionBy("doc_id", "_deep").orderBy("pos").rowsBetween(W.unboundedPreceding, 0)
+    opened = F.when((F.col("tag") == "item") & (F.col("kind") == "open"), F.col("pos"))
+    inner = F.last(opened, ignorenulls=True).over(level)
+    plain = F.col("_top").isNull() | (F.col("_outer") < F.col("_top"))
+    unit = F.when(plain, F.col("_outer")).when(F.col("_deep") > 0, inner)
+    return marked.withColumn("para_at", unit).drop("_deep", "_outer", "_top")
+
+
+def item_marks(tokens: DataFrame) -> DataFrame:
+    """``doc_id, pos, given_num, list_pos, ordered`` of every item: its own
+    number and the list directly around it."""
+    lists = nest_level(tokens.where(F.col("tag").isin("list", "item")), ["list"], "_deep")
+    level = W.partitionBy("doc_id", "_deep").orderBy("pos").rowsBetween(W.unboundedPreceding, 0)
+    opened = F.when((F.col("tag") == "list") & (F.col("kind") == "open"), F.struct("pos", attr(F.col("tok"), "type").alias("type")))
+    seat = lists.withColumn("_list", F.last(opened, ignorenulls=True).over(level))
+    own = seat.where((F.col("tag") == "item") & (F.col("kind") != "close"))
+    ordered = F.coalesce(F.col("_list.type").isin("ordered", "enumerate"), F.lit(False))
+    return own.select("doc_id", "pos", attr(F.col("tok"), "id-text").alias("given_num"), F.col("_list.pos").alias("list_pos"), ordered.alias("ordered"))
+
+
+def itemised(paras: DataFrame, marks: DataFrame) -> DataFrame:
+    """Paragraphs (``doc_id, pos, para_text, spans``) of which some are list
+    items: settings go, and items of ordered lists get their own number, else
+    their place in the list, in front; their spans move along, ids kept."""
+    rows = paras.join(marks, ["doc_id", "pos"], "left").withColumnRenamed("para_text", "_plain")
+    is_item = F.col("ordered").isNotNull()
+    kept = list_items(rows.withColumn("_none", F.lit(None).cast("string")), "_plain", "_none", is_item)
+    place = F.row_number().over(W.partitionBy("doc_id", "list_pos").orderBy("pos"))
+    counted = kept.withColumn("_num", F.coalesce("given_num", F.when(F.col("ordered"), place.cast("string"))))
+    out = list_items(counted, "_plain", "_num", is_item)
+    moved = F.transform("spans", lambda s: s.withField("start", s["start"] + F.col("shift")).withField("end", s["end"] + F.col("shift")))
+    return out.withColumn("spans", moved).drop("_plain", "_none", "_num", "shift", "given_num", "list_pos", "ordered")
+
+
+def abstract_zones(tokens: DataFrame, blocks: Iterable[str], sectioned: Iterable[str], unit: str = "para_at") -> DataFrame:
+    """B12 over zones: ``doc_id, pos, in_abstract`` of every paragraph of ``unit``.
+    Paragraphs of an ``abstract`` make the abstract; in a document without one,
+    those directly inside the leading block and outside its divisions do."""
+    marked = within(tokens, _a="abstract", _b=tuple(blocks), _d=tuple(sectioned))
+    doc = W.partitionBy("doc_id")
+    upto = doc.orderBy("pos").rowsBetween(W.unboundedPreceding, 0)
+    base = F.last(F.when(F.col("pos") == F.col("_b"), F.col("depth")), ignorenulls=True).over(upto)
+    marked = marked.withColumns({"_base": base, "_first": F.min("_b").over(doc), "_has": F.max(F.col("_a").isNotNull()).over(doc)})
+    lead = F.col("_b").isNotNull() & (F.col("_b") == F.col("_first")) & F.col("_d").isNull() & (F.col("tag") == "p") & (F.col("depth") == F.col("_base") + 1)
+    inside = F.when(F.col("_has"), F.col("_a").isNotNull()).otherwise(lead)
+    return marked.where(F.col("pos") == F.col(unit)).select("doc_id", "pos", F.coalesce(inside, F.lit(False)).alias("in_abstract"))
+
+
 def item_rows(tokens: DataFrame) -> DataFrame:
     """Items of lists with their number and text."""
     marked = within(tokens, _i="item").where("_i is not null")

@@ -157,8 +157,8 @@ def marked_spans(tokens: DataFrame, para: str = "p", marks: tuple[str, ...] = ("
     paragraph text. A pair of spaces may lie across a mark: a run then begins
     without the space that completes the pair.
 
-    Columns: ``doc_id, para_pos, pos, kind`` (cite, fig, table, sup, sub or
-    NULL for other references), ``start, end, text, ref_id, para_text``.
+    Columns: ``doc_id, para_pos, pos, kind`` (cite, fig, table, NULL for other
+    references, else the tag of the mark), ``start, end, text, ref_id, para_text``.
     """
     marked = within(tokens, _p=para).where("_p is not null")
     is_mark = F.coalesce(F.col("tag").isin(*marks) & F.col("kind").isin("open", "close"), F.lit(False))
@@ -237,6 +237,32 @@ def formula_pieces(tokens: DataFrame, para: str = "p") -> DataFrame:
     return pieces.withColumn("text", named).withColumns({"sub": F.lit(0), "padded": is_ref, "is_span": is_ref})
 
 
+#: Places between two positions of the tokens of ``formula_tokens``.
+FORMULA_ROOM = 8
+
+
+def formula_tokens(tokens: DataFrame, tag: str = "inline-formula", para: str = "p") -> DataFrame:
+    """C12, JATS: tokens in which the content of a formula in a paragraph is its
+    name, INLINEFORM0 and so on by paragraph, with a blank on each side of the
+    element. Positions are spread by FORMULA_ROOM, so that the blanks find room."""
+    marked = within(tokens, _p=para, _f=tag)
+    formula = F.col("_p").isNotNull() & F.col("_f").isNotNull()
+    own = formula & (F.col("pos") == F.col("_f"))
+    count = F.sum(F.when(own, 1).otherwise(0)).over(W.partitionBy("doc_id", "_p").orderBy("pos").rowsBetween(W.unboundedPreceding, 0))
+    level = F.min(F.when(own, F.col("depth"))).over(W.partitionBy("doc_id", "_f"))
+    named = marked.withColumns({"_name": F.concat(F.lit("INLINEFORM"), count - 1), "_level": level})
+    plain = lambda at, value: F.struct((FORMULA_ROOM * F.col("pos") + at).alias("pos"), F.lit("text").alias("kind"), F.lit(None).cast("string").alias("tag"), value.alias("tok"), value.alias("text"))
+    self = lambda at, kind: F.struct((FORMULA_ROOM * F.col("pos") + at).alias("pos"), kind.alias("kind"), "tag", "tok", "text")
+    blank, name = F.lit(" "), F.col("_name")
+    start = F.array(plain(0, blank), self(1, F.lit("open")), plain(2, name))
+    end = F.array(self(0, F.lit("close")), plain(1, blank))
+    last = formula & (F.col("tag") == tag) & (F.col("kind") == "close") & (F.col("depth") == F.col("_level"))
+    whole = F.array(plain(0, blank), self(1, F.lit("open")), plain(2, name), self(3, F.lit("close")), plain(4, blank))
+    shown = F.when(~F.coalesce(formula, F.lit(False)), F.array(self(0, F.col("kind")))).when(own & (F.col("kind") == "void"), whole).when(own, start).when(last, end)
+    rows = named.select("doc_id", "depth", F.explode(shown).alias("_r"))
+    return rows.select("doc_id", "_r.pos", "_r.kind", "_r.tag", "_r.tok", "_r.text", "depth")
+
+
 def bibitems(tokens: DataFrame) -> DataFrame:
     """Bibliography items with an id, in list order."""
     own = tokens.where((F.col("tag") == "bibitem") & (F.col("kind") != "close"))

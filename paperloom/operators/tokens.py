@@ -193,6 +193,22 @@ def element_text(tokens: DataFrame, column: str, name: str = "text") -> DataFram
     )
 
 
+def elements(tokens: DataFrame, *tags: str) -> DataFrame:
+    """Every element of the given tags at any depth, also those inside one
+    another: ``doc_id, pos, tag, tok, text``. A token counts for each of them
+    that is open around it, found level by level as the one opened last."""
+    hit = F.col("tag").isin(*tags)
+    step = F.when(hit & (F.col("kind") == "open"), 1).when(hit & (F.col("kind") == "close"), -1).otherwise(0)
+    level = F.sum(step).over(_doc_order().rowsBetween(W.unboundedPreceding, 0))
+    inside = tokens.withColumn("_n", level).where("_n > 0").withColumn("_lvl", F.explode(F.sequence(F.lit(1), "_n")))
+    upto = _doc_order("_lvl").rowsBetween(W.unboundedPreceding, 0)
+    opened = F.when(hit & (F.col("kind") == "open") & (F.col("_lvl") == F.col("_n")), F.struct("pos", "tag", "tok"))
+    owned = inside.withColumn("_own", F.last(opened, ignorenulls=True).over(upto))
+    return owned.groupBy("doc_id", F.col("_own.pos").alias("pos"), F.col("_own.tag").alias("tag"), F.col("_own.tok").alias("tok")).agg(
+        ordered_concat(F.col("pos"), F.col("text")).alias("text")
+    )
+
+
 def attr_of(column: str, name: str) -> Column:
     """Attribute of the opening token of the element marked in ``column``, as
     an aggregate over the rows of that element."""
