@@ -146,18 +146,55 @@ def _ship(n: int):
     return run
 
 
+def bitmap(tokens: np.ndarray, bits: int) -> np.ndarray:
+    """Words of the bitmap of a set, ``bits`` a power of two."""
+    flags = np.zeros(bits, bool)
+    flags[(tokens & _U(bits - 1)).astype(np.int64)] = True
+    return np.packbits(flags, bitorder="little").view(np.uint64)
+
+
+def bitmap_bits(size: int) -> int:
+    """Bits of the bitmap that goes ahead of a set of ``size`` tokens: eight a token or more."""
+    return 1 << max(8, (8 * size - 1).bit_length())
+
+
+def folded(words: np.ndarray) -> np.ndarray:
+    """A bitmap of half as many bits."""
+    return words[: len(words) // 2] | words[len(words) // 2 :]
+
+
+def _sketches(n: int):
+    """Texts with their ``units`` to one row per unit with the size and the bitmap of the text's set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi, data, offsets in pieces(batch.column(1)):
+                w = words(data, offsets)
+                grams = windows(w.hash, n)
+                sets = [shingle_set(w, grams, d, n) for d in range(hi - lo)]
+                maps = [bitmap(s, bitmap_bits(len(s))).tobytes() for s in sets]
+                units = batch.column(2).slice(lo, hi - lo)
+                owner = np.repeat(np.arange(hi - lo), units.value_lengths().to_numpy(zero_copy_only=False))
+                load = np.cumsum([len(maps[d]) for d in owner])
+                flat = units.flatten()
+                for part in np.split(np.arange(len(owner)), np.flatnonzero(np.diff(load // (8 << 20))) + 1):
+                    if len(part):
+                        mine = owner[part]
+                        fields = [flat.field(i).slice(part[0], len(part)) for i in range(4)]
+                        ids = batch.column(0).take(pa.array(lo + mine))
+                        sizes = pa.array([len(sets[d]) for d in mine], pa.int32())
+                        columns = [fields[0], fields[1], ids, fields[2], fields[3], sizes, pa.array([maps[d] for d in mine], pa.binary())]
+                        yield pa.RecordBatch.from_arrays(columns, names=["top", "chunk", "id", "label", "side", "n", "bitmap"])
+
+    return run
+
+
 class SignatureTree:
-    """Sets in size order; leaves of up to FANOUT sets, then nodes of up to FANOUT nodes."""
-
-    def __init__(self, sets: list[np.ndarray], bits: int):
-        self.sets = sets
-        maps = np.zeros((len(sets), bits // 64), np.uint64)
-        for i, s in enumerate(sets):
-            at = s & _U(bits - 1)
-            np.bitwise_or.at(maps[i], (at >> _U(6)).astype(np.int64), _U(1) << (at & _U(63)))
-        size = np.array([len(s) for s in sets])
+    """Sets in size order, by their bitmaps and sizes; leaves of up to FANOUT sets, then nodes of up to FANOUT nodes."""
+
+    def __init__(self, maps: np.ndarray, size: np.ndarray):
         over = size - np.bitwise_count(maps).sum(1).astype(np.int64)
-        span = np.arange(len(sets) + 1)
+        span = np.arange(len(maps) + 1)
         self.levels = [(maps, size, size, over, span)]
         while len(self.levels[-1][0]) > 1:
             maps, low, high, over, span = self.levels[-1]
@@ -203,8 +240,9 @@ def tree_links(left: list[tuple[int, np.ndarray]], right: list[tuple[int, np.nda
     if not a or not b:
         return []
     bits = 1 << max(8, (32 * max(len(a[-1][1]), len(b[-1][1])) - 1).bit_length())
-    ta = SignatureTree([r[1] for r in a], bits)
-    tb = ta if right is None else SignatureTree([r[1] for r in b], bits)
+    grown = lambda rows: SignatureTree(np.stack([bitmap(r[1], bits) for r in rows]), np.array([len(r[1]) for r in rows]))
+    ta = grown(a)
+    tb = ta if right is None else grown(b)
     names: dict[int, int] = {}
     la = np.array([names.setdefault(label.get(r[0], r[0]), len(names)) for r in a])
     lb = la if right is None else np.array([names.setdefault(label.get(r[0], r[0]), len(names)) for r in b])
@@ -236,6 +274,107 @@ def tree_links(left: list[tuple[int, np.ndarray]], right: list[tuple[int, np.nda
     return out
 
 
+def sift(ta: SignatureTree, tb: SignatureTree, percent: int, la: np.ndarray, lb: np.ndarray, ma: np.ndarray, mb: np.ndarray) -> None:
+    """Mark the sets of two trees (``ma``, ``mb``) that may reach the threshold with one of another label in the other.
+
+    Node pairs whose sets are all marked, or all of one label, are passed over.
+    """
+    stack = [(len(ta.levels) - 1, 0, len(tb.levels) - 1, 0)]
+    while stack:
+        u, i, v, j = stack.pop()
+        span_a, span_b = ta.levels[u][4], tb.levels[v][4]
+        at, bt = slice(span_a[i], span_a[i + 1]), slice(span_b[j], span_b[j + 1])
+        if ma[at].all() and mb[bt].all() or (la[at] == la[at][0]).all() and (lb[bt] == la[at][0]).all():
+            continue
+        if u == 0 and v == 0:
+            if possible(ta.levels[0], tb.levels[0], np.array([i]), np.array([j]), percent)[0]:
+                ma[i] = mb[j] = True
+            continue
+        down_a, down_b = u >= v and u > 0, v >= u and v > 0
+        ci = ta.children(u, i) if down_a else np.array([i])
+        cj = tb.children(v, j) if down_b else np.array([j])
+        pi, pj = np.repeat(ci, len(cj)), np.tile(cj, len(ci))
+        if tb is ta and u == v and i == j:
+            keep = (pi < pj) | ((pi == pj) & (u - 1 > 0))
+            pi, pj = pi[keep], pj[keep]
+        ok = possible(ta.levels[u - down_a], tb.levels[v - down_b], pi, pj, percent)
+        stack.extend((u - down_a, int(p), v - down_b, int(q)) for p, q in zip(pi[ok], pj[ok]))
+
+
+def survivors(sizes: np.ndarray, maps: list[bytes], labels: np.ndarray, sides: np.ndarray, percent: int) -> np.ndarray:
+    """Which members of a node may link with another of its members, by bitmaps and sizes alone.
+
+    Bitmaps of different lengths meet where the sizes allow a link; the longer ones are folded then.
+    """
+    kept = np.zeros(len(sizes), bool)
+    length = np.array([len(m) for m in maps])
+    halves = [sides == 0, sides == 1] if (sides >= 0).any() else [np.ones(len(sizes), bool)] * 2
+
+    def grown(rows: np.ndarray, to: int) -> SignatureTree:
+        found = []
+        for r in rows:
+            words = np.frombuffer(maps[r], np.uint64)
+            while 8 * len(words) > to:
+                words = folded(words)
+            found.append(words)
+        return SignatureTree(np.stack(found), sizes[rows])
+
+    def meet(a: np.ndarray, b: np.ndarray, to: int) -> None:
+        if not len(a) or not len(b):
+            return
+        a, b = (x[np.argsort(sizes[x], kind="stable")] for x in (a, b))
+        ta = grown(a, to)
+        ma = kept[a]
+        if len(a) == len(b) and (a == b).all():
+            tb, mb = ta, ma
+        else:
+            tb, mb = grown(b, to), kept[b]
+        sift(ta, tb, percent, labels[a], labels[b], ma, mb)
+        kept[a] |= ma
+        kept[b] |= mb
+
+    lengths = np.unique(length).tolist()
+    for x in lengths:
+        for y in lengths:
+            if x > y and halves[0] is halves[1]:
+                continue
+            a, b = np.flatnonzero(halves[0] & (length == x)), np.flatnonzero(halves[1] & (length == y))
+            if len(a) and len(b) and 100 * sizes[a].max() >= percent * sizes[b].min() and 100 * sizes[b].max() >= percent * sizes[a].min():
+                meet(a, b, min(x, y))
+    return kept
+
+
+def _sifted(percent: int):
+    """Rows sorted by node (``top, chunk``) to the units that may link with another of their node."""
+    names = ["top", "chunk", "id", "label", "side"]
+
+    def solve(rows: list[tuple]) -> list[tuple]:
+        label, side, size = (np.array([r[i] for r in rows], np.int64) for i in (3, 4, 5))
+        kept = survivors(size, [r[6] for r in rows], label, side, percent)
+        return [r[:5] for r, k in zip(rows, kept) if k]
+
+    def units(out: list[tuple]) -> pa.RecordBatch:
+        kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int32()]
+        return pa.RecordBatch.from_arrays([pa.array(column, kind) for column, kind in zip(zip(*out), kinds)], names=names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, rows = None, []
+        for batch in batches:
+            out = []
+            for row in zip(*(column.to_pylist() for column in batch.columns)):
+                if row[:2] != at:
+                    if rows:
+                        out += solve(rows)
+                    at, rows = row[:2], []
+                rows.append(row)
+            if out:
+                yield units(out)
+        if rows and (out := solve(rows)):
+            yield units(out)
+
+    return run
+
+
 def _walk(percent: int):
     """Rows sorted by node (``top, chunk, part``) to links; a node's rows are held one node at a time."""
 
@@ -270,11 +409,20 @@ def _edges(out: list[tuple[int, int]]) -> pa.RecordBatch:
 
 
 def _solved(work: DataFrame, source: DataFrame, n: int, percent: int) -> DataFrame:
-    """Links of the units ``top, chunk, id, label, side``. A text is read once for all its units, at most one per key of it."""
-    per = work.groupBy("id").agg(F.collect_list(F.struct("top", F.col("chunk").cast("string").alias("chunk"), "label", "side")).alias("units"))
-    rows = source.join(per.hint("merge"), "id").mapInArrow(_ship(n), "top long, chunk string, id long, label long, side int, tokens binary")
-    rows = rows.repartition("top", "chunk").sortWithinPartitions("top", "chunk", "side", "id")
-    return rows.mapInArrow(_walk(percent), "a long, b long")
+    """Links of the units ``top, chunk, id, label, side``. A text is read once for all its units, at most one per key of it.
+
+    Bitmaps and sizes go ahead: a node's trees over them tell which members may link
+    with another at all, and only the sets of those are sent after.
+    """
+    unit = "top long, chunk string, id long, label long, side int"
+
+    def sent(units: DataFrame, send, schema: str) -> DataFrame:
+        per = units.groupBy("id").agg(F.collect_list(F.struct("top", F.col("chunk").cast("string").alias("chunk"), "label", "side")).alias("units"))
+        rows = source.join(per.hint("merge"), "id").mapInArrow(send, schema)
+        return rows.repartition("top", "chunk").sortWithinPartitions("top", "chunk", "side", "id")
+
+    left = written(sent(work, _sketches(n), f"{unit}, n int, bitmap binary").mapInArrow(_sifted(percent), unit), "survivors")
+    return sent(left, _ship(n), f"{unit}, tokens binary").mapInArrow(_walk(percent), "a long, b long")
 
 
 def _key_links(texts: DataFrame, n: int, percent: int) -> DataFrame:

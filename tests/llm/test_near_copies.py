@@ -3,6 +3,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
 from llm_fixtures import make_docs  # noqa: F401
@@ -83,6 +84,26 @@ def test_components_over_several_chunks(spark, make_docs, monkeypatch):
     assert {r["id"]: r["component_id"] for r in got} == brute_components(rows, 3, 90)
 
 
+@pytest.mark.parametrize("percent", [40, 80, 90])
+def test_survivors_lose_no_link(percent):
+    rng = np.random.default_rng(percent)
+    sets = []
+    for size in (1, 3, 20, 40, 300, 700):
+        for _ in range(8):
+            base = rng.integers(0, 2**48, size, dtype=np.uint64)
+            sets += [np.unique(np.concatenate([base[: rng.integers(size // 2, size) + 1], rng.integers(0, 2**48, rng.integers(0, size // 3 + 1), dtype=np.uint64)])) for _ in range(3)]
+    maps = [ngram_join.bitmap(s, ngram_join.bitmap_bits(len(s))).tobytes() for s in sets]
+    sizes, labels = np.array([len(s) for s in sets]), np.arange(len(sets)) // 2
+    for sides in (np.full(len(sets), -1), np.arange(len(sets)) % 2):
+        kept = ngram_join.survivors(sizes, maps, labels, sides, percent)
+        for i in range(len(sets)):
+            for j in range(len(sets)):
+                apart = labels[i] != labels[j] and (sides[i] < 0 or sides[i] != sides[j])
+                if apart and ngram_join.linked(sets[i], sets[j], percent):
+                    assert kept[i] and kept[j]
+        assert not kept.all()
+
+
 def test_repeated_id_connects_its_texts(spark, make_docs):
     rng = random.Random(5)
     a, b = " ".join(prose(rng, 40)), " ".join(prose(rng, 40))
