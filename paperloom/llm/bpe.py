@@ -33,8 +33,8 @@ from tokenizers import Tokenizer
 
 from paperloom.llm.bytetext import PIECE
 
-#: Words kept with their tokens; a full cache starts anew. Only words of up to CACHED characters enter.
-CACHE_WORDS, CACHED = 100_000, 32
+#: Words kept with their tokens in each of two generations. Only words of up to CACHED characters enter.
+CACHE_WORDS, CACHED = 200_000, 32
 #: Characters of a text that are cut into words at once.
 SEGMENT = 1 << 18
 
@@ -164,6 +164,7 @@ class Codec:
         self.text_of = {i: t for t, i in (model["vocab"] | self.special).items()}
         self.path = path
         self.cache: dict[str, tuple[str, int, str]] = {}
+        self.older: dict[str, tuple[str, int, str]] = {}
 
     @cached_property
     def library(self) -> Tokenizer:
@@ -216,6 +217,8 @@ class Codec:
                 out = []
                 for word in words:
                     known = cache.get(word)
+                    if known is None and (known := self.older.get(word)) is not None:
+                        cache[word] = known
                     if known is None:
                         if len(word) > CACHED:
                             ids = self.word_ids(word)
@@ -224,7 +227,9 @@ class Codec:
                             continue
                         known = self.run(list(self.word_ids(word)))
                         if len(cache) >= CACHE_WORDS:
-                            cache.clear()
+                            # The full generation becomes the old one; words met again come back from it.
+                            self.older, self.cache = cache, {}
+                            cache = self.cache
                         cache[word] = known
                     out.append(known)
                 yield [x for x in out if x[1]]

@@ -68,6 +68,16 @@ def test_long_word_keeps_a_bounded_window(library):
         assert read[0] - size <= 5 * (c.merges.lookahead + c.merges.longest)
 
 
+def test_words_come_back_from_the_older_generation(library, monkeypatch):
+    monkeypatch.setattr(bpe, "CACHE_WORDS", 3)
+    c = bpe.Codec(word_bpe_path())
+    rng = random.Random(4)
+    for _ in range(50):
+        text = " ".join(rng.choice(["the", "a", "of", "Xylo", "qwrt", "ümlaut", "9", "don't"]) for _ in range(20))
+        assert list(c.encode(text)) == library.encode(text, add_special_tokens=False).ids
+        assert len(c.cache) <= 6 and len(c.older) <= 6
+
+
 def test_plain_text(library):
     c = bpe.codec(word_bpe_path())
     ids = c.encode("Ça va 👍🏽, l'été?<|endoftext|>")
