@@ -217,15 +217,15 @@ class Codec:
                 out = []
                 for word in words:
                     known = cache.get(word)
-                    if known is None and (known := self.older.get(word)) is not None:
-                        cache[word] = known
                     if known is None:
-                        if len(word) > CACHED:
-                            ids = self.word_ids(word)
-                            while block := list(islice(ids, 4096)):
-                                out.append(self.run(block))
-                            continue
-                        known = self.run(list(self.word_ids(word)))
+                        known = self.older.get(word)
+                        if known is None:
+                            if len(word) > CACHED:
+                                ids = self.word_ids(word)
+                                while block := list(islice(ids, 4096)):
+                                    out.append(self.run(block))
+                                continue
+                            known = self.run(list(self.word_ids(word)))
                         if len(cache) >= CACHE_WORDS:
                             # The full generation becomes the old one; words met again come back from it.
                             self.older, self.cache = cache, {}

@@ -75,7 +75,7 @@ def test_words_come_back_from_the_older_generation(library, monkeypatch):
     for _ in range(50):
         text = " ".join(rng.choice(["the", "a", "of", "Xylo", "qwrt", "ümlaut", "9", "don't"]) for _ in range(20))
         assert list(c.encode(text)) == library.encode(text, add_special_tokens=False).ids
-        assert len(c.cache) <= 6 and len(c.older) <= 6
+        assert len(c.cache) <= 3 and len(c.older) <= 3
 
 
 def test_plain_text(library):
