@@ -150,3 +150,33 @@ def g3_upsert(spark, sf_dir):
     path = work_path(spark, "outputs")
     log = _finish(spark, G.append_table(rows, path, work_path(spark, "outputs-state")), path, "dataset string, filename string, file_id long, ts timestamp")
     return G.current_rows(log, ["dataset", "filename"], ["ts", "file_id"]).select("dataset", "filename", "file_id")
+
+
+@query("g2_announce_once", "SELECT event_type AS dataset, user_id AS filename, 1 AS times FROM events GROUP BY event_type, user_id")
+def g2_announce_once(spark, sf_dir):
+    """Files as a stream hands them on: once each, though every announcement comes again in a second run."""
+    inbox, out = work_path(spark, "inbox"), work_path(spark, "emitted")
+    path, state = work_path(spark, "keys"), work_path(spark, "keys-state")
+    rows = table(spark, sf_dir, "events").select(F.col("event_type").alias("dataset"), F.col("user_id").alias("filename"), "ts")
+    schema = "dataset string, filename long, ts timestamp"
+    emit = lambda new, number: new.select("dataset", "filename").write.mode("overwrite").parquet(f"{out}/batch={number}")
+    for _ in range(2):
+        rows.repartitionByRange(2, "ts").write.mode("append").parquet(inbox)
+        G.announce_once(G.file_stream(spark, inbox, schema, per_trigger=1), ["dataset", "filename"], path, state, emit, buckets=4).awaitTermination()
+    found = spark.read.schema("dataset string, filename long, batch long").parquet(out)
+    return found.groupBy("dataset", "filename").agg(F.count("*").cast("int").alias("times"))
+
+
+@query("g3_snapshot_delta", _LATEST)
+def g3_snapshot_delta(spark, sf_dir):
+    """Newest outputs from a snapshot and the deltas since, compacted between two runs of the stream."""
+    inbox, state = work_path(spark, "inbox"), work_path(spark, "table-state")
+    schema = "dataset string, filename string, file_id long, ts timestamp"
+    rows = table(spark, sf_dir, "events").select(F.col("event_type").alias("dataset"), text("{user_id}.json").alias("filename"), F.col("event_id").alias("file_id"), "ts")
+    outputs = G.VersionedTable(spark, work_path(spark, "table"), schema, ["dataset", "filename"], ["ts", "file_id"])
+    for late in (1, 0):  # later announcements arrive first
+        rows.where(F.col("file_id") % 2 == late).repartition(2, "dataset").write.mode("append").parquet(inbox)
+        outputs.upsert(G.file_stream(spark, inbox, schema, per_trigger=1), state).awaitTermination()
+        if late:
+            outputs.compact()
+    return outputs.read().select("dataset", "filename", "file_id")

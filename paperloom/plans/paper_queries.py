@@ -25,6 +25,40 @@ def a1_scan_files(spark, sf_dir):
     return A.describe_files(rows).select("doc_id", "kind", "sha1", "error")
 
 
+@query(
+    "a1_scan_folder",
+    """SELECT CAST(doc_id // 500 AS INTEGER) AS bucket, 'txt' AS kind, sha1(string_agg(text || chr(10), '' ORDER BY doc_id)) AS sha1, 'unknown_type' AS error FROM documents GROUP BY doc_id // 500
+      UNION ALL SELECT CAST(doc_id // 500 AS INTEGER), 'gz', NULL, NULL FROM documents GROUP BY doc_id // 500""",
+)
+def a1_scan_folder(spark, sf_dir):
+    """Files written to the shared folder, plain and compressed, found again with their types and the SHA-1 of their bytes."""
+    folder = work_path(spark, "files")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.expr("cast(doc_id div 500 as int)").alias("bucket"))
+    placed = docs.repartition("bucket").sortWithinPartitions("bucket", "doc_id").select("bucket", "text")
+    for name, codec in (("plain", "none"), ("packed", "gzip")):
+        placed.write.partitionBy("bucket").option("compression", codec).text(f"{folder}/{name}")
+    found = A.scan_folder(spark, folder, "part-*").where(F.col("path").contains("bucket="))
+    bucket = F.regexp_extract("path", r"bucket=(\d+)", 1).cast("int")
+    return found.select(bucket.alias("bucket"), "kind", F.when(F.col("kind") == "txt", F.col("sha1")).alias("sha1"), "error")
+
+
+@query(
+    "a2_scan_records",
+    """SELECT CAST(doc_id AS VARCHAR) AS doc_id, CASE WHEN doc_id % 11 = 0 THEN 'malformed' END AS reason, CASE WHEN doc_id % 11 <> 0 THEN md5(text) END AS digest FROM documents""",
+)
+def a2_scan_records(spark, sf_dir):
+    """Files of many documents each, written and scanned record by record; broken records go to quarantine with their place."""
+    folder = work_path(spark, "records")
+    docs = table(spark, sf_dir, "documents")
+    close = F.when(F.col("doc_id") % 11 == 0, "").otherwise("</p>")
+    docs.select(F.concat(F.lit('<doc id="'), "doc_id", F.lit('"><p>'), F.hex(F.encode("text", "UTF-8")), close, F.lit("</doc>"))).write.text(folder)
+    found = A.scan_xml_records(spark, folder, "doc")
+    body = F.regexp_extract("xml", r"<p>([0-9A-F]*)</p>", 1)
+    return found.select(
+        F.regexp_extract("xml", r'id="(\d+)"', 1).alias("doc_id"), "reason", F.when(F.col("reason").isNull(), F.md5(F.unhex(body))).alias("digest")
+    )
+
+
 @query("a2_well_formed", f"WITH {CITES}, bad AS (SELECT doc_id, bool_or(p % 11 = 0) AS broken FROM cites GROUP BY doc_id) SELECT doc_id, NOT broken AS ok FROM bad")
 def a2_well_formed(spark, sf_dir):
     line = text("<p>T{p}", F.when(F.col("p") % 11 == 0, "").otherwise("</p>"))
@@ -55,9 +89,12 @@ _LINES = "(len(string_split(text, chr(10))) - 1)"
       CASE WHEN doc_id % 5 = 2 THEN CAST({_LINES} AS INTEGER) END AS body FROM documents""",
 )
 def a3_scan_papers(spark, sf_dir):
-    rows = P.parse_json(_layout_json(spark, sf_dir))
+    folder = work_path(spark, "json")
+    _layout_json(spark, sf_dir).select("json").write.text(folder)
+    rows = A.scan_papers(spark, folder)
     corrupt = F.col("_corrupt_record").isNotNull()
-    return rows.select("doc_id", corrupt.alias("corrupt"), F.when(~corrupt, F.col("paper_id")).alias("paper_id"), F.when(F.col("body_text").isNotNull(), F.size("body_text")).alias("body"))
+    own = F.coalesce("paper_id", F.regexp_extract("_corrupt_record", r'"paper_id": (\d+)', 1))
+    return rows.select(own.alias("doc_id"), corrupt.alias("corrupt"), F.when(~corrupt, F.col("paper_id")).alias("paper_id"), F.when(F.col("body_text").isNotNull(), F.size("body_text")).alias("body"))
 
 
 @query("a4_decode", "SELECT doc_id, md5(regexp_replace(text, '[^\\x00-\\xFF]', '?', 'g')) AS digest, length(text) AS chars FROM documents")

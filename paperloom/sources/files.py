@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from paperloom.schemas import paper_json
@@ -37,6 +38,37 @@ def scan_xml(spark: SparkSession, path: str) -> DataFrame:
     return text.select(F.regexp_replace(F.element_at(F.split("_path", "/"), -1), r"\.[^.]+$", "").alias("doc_id"), F.col("value").alias("xml"))
 
 
+def scan_xml_records(spark: SparkSession, path: str, row_tag: str) -> DataFrame:
+    """A2: files that hold many documents, one row per element ``row_tag``:
+    ``file, offset, record_no, xml, reason``.
+
+    The closing tag ends a record, so large files are split between tasks as
+    lines of text are. ``offset`` is the byte at which a record's stretch of the
+    file begins; stretches are added up by split, and the splits of a file in
+    order. ``reason`` is set for what goes to quarantine with its place:
+    ``malformed`` elements, an ``unterminated`` last one, and ``stray_text`` in
+    which no such element begins. Elements of that name do not stand inside one
+    another, and the closing tag is written without blanks. Files are UTF-8.
+    """
+    end = f"</{row_tag}>"
+    raw = spark.read.option("lineSep", end).text(path)
+    rows = raw.select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_split"), F.col("_metadata.file_size").alias("_size"), F.monotonically_increasing_id().alias("_row")
+    ).withColumn("_bytes", F.octet_length("value") + len(end))
+    totals = rows.groupBy("file", "_split").agg(F.sum("_bytes").alias("_sum"), F.count("*").alias("_n"))
+    before = W.partitionBy("file").orderBy("_split").rowsBetween(W.unboundedPreceding, -1)
+    starts = totals.select("file", "_split", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_at"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_no"))
+    inside = W.partitionBy("file", "_split").orderBy("_row").rowsBetween(W.unboundedPreceding, -1)
+    placed = rows.withColumns({"_here": F.coalesce(F.sum("_bytes").over(inside), F.lit(0)), "_turn": F.count("*").over(inside)}).join(starts, ["file", "_split"])
+    offset = F.col("_at") + F.col("_here")
+    placed = placed.withColumns({"offset": offset, "record_no": F.col("_no") + F.col("_turn"), "_open": offset + F.octet_length("value") == F.col("_size")})
+    body = F.regexp_substr("value", F.lit(rf"(?s)<{row_tag}[\s>/].*"))
+    xml = F.when(F.col("_open"), body).otherwise(F.concat(body, F.lit(end)))
+    reason = F.when(body.isNull(), "stray_text").when(F.col("_open"), "unterminated").when(~well_formed(xml), "malformed")
+    kept = placed.where(body.isNotNull() | (F.trim(F.regexp_replace("value", r"\s+", " ")) != ""))
+    return kept.select("file", "offset", "record_no", F.coalesce(xml, F.col("value")).alias("xml"), reason.alias("reason"))
+
+
 def scan_xml_rows(spark: SparkSession, path: str, row_tag: str, schema: str) -> DataFrame:
     """A2: one row per element of one name, with the given fields; rows that do
     not fit keep their text in ``_corrupt_record`` when the schema has it."""

@@ -111,3 +111,63 @@ def test_ingest_runs_batch_windows(spark, tmp_path):
     stream = ingest.file_stream(spark, inbox, "doc_id string, xml string")
     ingest.ingest(stream, lambda b: sentence_rows(tokenise(b)), table, work_path(spark, "s")).awaitTermination()
     assert rows(spark.read.schema("doc_id string, sentence string").parquet(table), "doc_id", "sentence") == [("a", "x")]
+
+
+def test_scan_xml_records_with_offsets(spark, tmp_path):
+    one = '<set>\n<doc n="1"><p>é</p></doc>\n<doc n="2"><p></doc> <doc n="3">x</doc>'
+    (tmp_path / "a.xml").write_text(one, encoding="utf-8")
+    (tmp_path / "b.xml").write_text('stray</doc><doc n="4">open', encoding="utf-8")
+    (tmp_path / "c.xml").write_text("".join(f'<doc n="{i}">{"y" * i}</doc>\n' for i in range(3000)), encoding="utf-8")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100000")
+    try:
+        got = files.scan_xml_records(spark, str(tmp_path / "*.xml"), "doc").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    by = lambda name: sorted((r.offset, r.record_no, r.xml, r.reason) for r in got if r.file.endswith(name))
+    assert [(r[2], r[3]) for r in by("a.xml")] == [('<doc n="1"><p>é</p></doc>', None), ('<doc n="2"><p></doc>', "malformed"), ('<doc n="3">x</doc>', None)]
+    assert [(r[2], r[3]) for r in by("b.xml")] == [("stray", "stray_text"), ('<doc n="4">open', "unterminated")]
+    many, data = by("c.xml"), (tmp_path / "c.xml").read_bytes()
+    assert [r[1] for r in many] == list(range(3000)) and all(r[3] is None for r in many)
+    for at, _, xml, _ in [*many[::97], *by("a.xml")[:1]]:
+        whole = data if xml != by("a.xml")[0][2] else one.encode()
+        assert whole[at:].decode().lstrip("\n").removeprefix("<set>\n").startswith(xml)
+
+
+def test_announcements_are_handed_on_once(spark, tmp_path):
+    schema = "name string, n long"
+    inbox, out = str(tmp_path / "in"), str(tmp_path / "out")
+    path, state = work_path(spark, "k"), work_path(spark, "s")
+    put = lambda data: spark.createDataFrame(data, schema).coalesce(1).write.mode("append").parquet(inbox)
+    emit = lambda new, number: new.write.mode("overwrite").parquet(f"{out}/batch={number}")
+    run = lambda: ingest.announce_once(ingest.file_stream(spark, inbox, schema), ["name"], path, state, emit, 4).awaitTermination()
+    put([("a", 1), ("a", 1), ("b", 1)])
+    run()
+    put([("a", 2), ("c", 2), (None, 2)])
+    run()
+    put([("b", 3), ("d", 3)])
+    run()
+    run()
+    assert rows(spark.read.schema(schema).parquet(out), "name") == sorted([("a",), ("b",), ("c",), ("d",), (None,)], key=repr)
+
+
+def test_snapshot_and_deltas(spark, tmp_path):
+    schema = "doc_id string, version long, text string"
+    inbox, state = str(tmp_path / "in"), work_path(spark, "s")
+    table = ingest.VersionedTable(spark, str(tmp_path / "t"), schema, ["doc_id"], ["version"])
+    put = lambda data: spark.createDataFrame(data, schema).coalesce(1).write.mode("append").parquet(inbox)
+    run = lambda: table.upsert(ingest.file_stream(spark, inbox, schema), state).awaitTermination()
+    put([("a", 1, "a1"), ("a", 1, "a1b"), ("b", 5, "b5"), ("c", 1, "c1")])
+    run()
+    assert table.pointer() == (-1, None, -1) and table.read().count() == 4
+    table.compact()
+    table.compact()
+    assert table.pointer()[0] == 0 and table.read().count() == 4
+    put([("a", 2, "a2"), ("b", 4, "late")])
+    run()
+    assert rows(table.read()) == [("a", 2, "a2"), ("b", 5, "b5"), ("c", 1, "c1")]
+    # A run that is killed after its snapshot, ahead of the pointer, changes nothing.
+    spark.createDataFrame([("x", 9, "x")], schema).write.parquet(f"{tmp_path}/t/snapshots/1-killed")
+    assert table.read().count() == 3
+    table.compact()
+    assert table.pointer()[0] == 1 and rows(table.read()) == [("a", 2, "a2"), ("b", 5, "b5"), ("c", 1, "c1")]
+    assert table.deltas(table.pointer()[2]).count() == 0
