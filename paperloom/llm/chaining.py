@@ -15,6 +15,7 @@ matched as a whole, by their lengths.
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from paperloom.llm.bytetext import FOLD, mix, pieces, windows, words
+from paperloom.llm.bytetext import FOLD, lean, mix, pieces, windows, words
 from paperloom.llm.graph import written
 
 #: Words of a seed, seeds per winnowing window, words aligned beyond a chain's end, largest gap within a chain.
@@ -109,29 +110,40 @@ def _seeds(least: int):
                 columns = [pa.array(values.view(np.int64)), pa.array(spots.astype(np.int32)), *(pa.array(np.ascontiguousarray(x)) for x in extra.T)]
                 yield pa.RecordBatch.from_arrays([ids, *columns], names=["id", "h", "pos", "left", "size", "period"])
 
-    return run
+    return lean(run)
+
+
+NOTHING = (float("-inf"), -1)
 
 
 class Fenwick:
-    """Largest value over prefixes."""
+    """Largest value over ranges; a value may be taken back by putting NOTHING."""
 
     def __init__(self, size: int):
-        self.best = [(0.0, -1)] * (size + 1)
+        self.value = [NOTHING] * (size + 1)
+        self.best = [NOTHING] * (size + 1)
 
     def put(self, i: int, value: tuple[float, int]) -> None:
         i += 1
+        self.value[i] = value
         while i < len(self.best):
-            if self.best[i] < value:
-                self.best[i] = value
+            top, step = self.value[i], 1
+            while step < i & -i:  # the nodes below
+                top = max(top, self.best[i - step])
+                step *= 2
+            self.best[i] = top
             i += i & -i
 
-    def upto(self, i: int) -> tuple[float, int]:
-        """Over positions 0 to ``i - 1``."""
-        out = (0.0, -1)
-        while i > 0:
-            if self.best[i] > out:
-                out = self.best[i]
-            i -= i & -i
+    def over(self, low: int, high: int) -> tuple[float, int]:
+        """Over positions ``low`` to ``high - 1``."""
+        out = NOTHING
+        while high > low:
+            if high - (high & -high) >= low:
+                out = max(out, self.best[high])
+                high -= high & -high
+            else:
+                out = max(out, self.value[high])
+                high -= 1
         return out
 
 
@@ -144,25 +156,34 @@ def segments(pos: np.ndarray, other: np.ndarray) -> np.ndarray:
 
 
 def chains(segs: np.ndarray) -> list[list[int]]:
-    """Collinear chains, best first, each segment in one of them; cut at gaps of more than GAP words."""
+    """Collinear chains, best first, each segment in one of them.
+
+    A segment follows the best one that ends at most GAP words ahead of it in
+    both texts: the tree holds those within GAP in the first text, by their end
+    in the second, of which a range is asked.
+    """
     n = len(segs)
     if n == 1:
         return [[0]]
     rows = segs.tolist()
     ends = sorted(range(n), key=lambda i: rows[i][1])
-    places = sorted({r[3] for r in rows})
-    rank = {p: i for i, p in enumerate(places)}
-    tree, score, prior, put = Fenwick(len(places)), [0.0] * n, [-1] * n, 0
+    places = sorted(range(n), key=lambda i: (rows[i][3], i))
+    rank = {j: at for at, j in enumerate(places)}
+    stops = [rows[j][3] for j in places]
+    tree, score, prior, put, gone = Fenwick(n), [0.0] * n, [-1] * n, 0, 0
     for i in sorted(range(n), key=lambda i: rows[i]):
         d0, d1, r0, r1 = rows[i]
         while put < n and rows[ends[put]][1] <= d0:
             j = ends[put]
-            tree.put(rank[rows[j][3]], (score[j] + GAP_COST * (rows[j][1] + rows[j][3]), j))
+            tree.put(rank[j], (score[j] + GAP_COST * (rows[j][1] + rows[j][3]), j))
             put += 1
-        value, j = tree.upto(int(np.searchsorted(places, r0, "right")))
+        while gone < put and rows[ends[gone]][1] < d0 - GAP:
+            tree.put(rank[ends[gone]], NOTHING)
+            gone += 1
+        value, j = tree.over(bisect_left(stops, r0 - GAP), bisect_right(stops, r0))
         gain = value - GAP_COST * (d0 + r0)
         score[i] = d1 - d0
-        if j >= 0 and gain > 0 and d0 - rows[j][1] <= GAP and r0 - rows[j][3] <= GAP:
+        if j >= 0 and gain > 0:
             score[i], prior[i] = score[i] + gain, j
     used, out = [False] * n, []
     for i in sorted(range(n), key=lambda i: -score[i]):
@@ -310,19 +331,19 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     heads = heads.select("h", F.col("head.id").alias("other"), F.col("head.pos").alias("spot"))
     matches = seeds.join(heads.hint("merge"), "h").where("id <> other").select("id", "other", "pos", "spot")
     ordered = matches.repartition("id").sortWithinPartitions("id", "other", "pos", "spot")
-    segs = written(ordered.mapInArrow(_chain, "id long, other long, chain long, k long, d0 long, d1 long, r0 long, r1 long, gap_d long, gap_r long"), "segments")
+    segs = written(ordered.mapInArrow(lean(_chain), "id long, other long, chain long, k long, d0 long, d1 long, r0 long, r1 long, gap_d long, gap_r long"), "segments")
     none = F.lit(-1).cast("long")
     side = lambda right, d, r, gd, gr: F.struct(F.lit(right).alias("right"), (F.col(d) * 2 + right).alias("spot"), (F.col(r) * 2 + right).alias("spot2"), gd.alias("gap_d"), gr.alias("gap_r"))
     sides = segs.select("id", "other", "chain", "k", "d0", "d1", F.explode(F.array(side(0, "d0", "r0", none, none), side(1, "d1", "r1", F.col("gap_d"), F.col("gap_r")))).alias("s"))
     sides = sides.select("id", "other", "chain", "k", "d0", "d1", "s.*")
     # Each asked spot of a document once, at most two per word of it.
     asked = sides.select("id", "spot").union(sides.select(F.col("other"), F.col("spot2"))).distinct().groupBy("id").agg(F.collect_list("spot").alias("asked"))
-    slices = written(source.join(asked.hint("merge"), "id").mapInArrow(_slices, "id long, spot long, slice binary"), "slices")
+    slices = written(source.join(asked.hint("merge"), "id").mapInArrow(lean(_slices), "id long, spot long, slice binary"), "slices")
     slices = slices.groupBy("id", "spot").agg(F.max("slice").alias("slice"))
     both = sides.join(slices.withColumnRenamed("slice", "mine").hint("merge"), ["id", "spot"])
     theirs = written(slices, "slices-by-spot").select(F.col("id").alias("other"), F.col("spot").alias("spot2"), F.col("slice").alias("theirs"))
     both = both.join(theirs.hint("merge"), ["other", "spot2"])
-    found = both.mapInArrow(_align, "id long, other long, chain long, k long, d0 long, d1 long, right int, more long")
+    found = both.mapInArrow(lean(_align), "id long, other long, chain long, k long, d0 long, d1 long, right int, more long")
     spans = found.groupBy("id", "other", "chain", "k", "d0", "d1").agg(F.max(F.when(F.col("right") == 0, F.col("more"))).alias("l"), F.max(F.when(F.col("right") == 1, F.col("more"))).alias("r"))
     spans = spans.select("id", "other", (F.col("d0") - F.coalesce("l", F.lit(0))).alias("start"), (F.col("d1") + F.coalesce("r", F.lit(0))).alias("end"))
     spans = spans.union(runs)
@@ -358,7 +379,7 @@ def _cut(text_col: str):
             kept = batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
             yield kept.drop_columns([SPANS])
 
-    return run
+    return lean(run)
 
 
 def drop_passages(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

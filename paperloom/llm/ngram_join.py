@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from paperloom.llm.bytetext import mix, pieces, shingle_set, windows, words
+from paperloom.llm.bytetext import lean, mix, pieces, shingle_set, windows, words
 from paperloom.llm.graph import components, written
 
 #: Shingles of one task's tree; nodes with more are dealt over several tasks.
@@ -94,7 +94,7 @@ def _marks(n: int):
                 sizes = pa.array([len(s) for s in sets], pa.int64())
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), sizes, pa.array(marks[:, 0]), pa.array(marks[:, 1])], names=["id", "n", "f1", "f2"])
 
-    return run
+    return lean(run)
 
 
 def _keys(n: int, percent: int):
@@ -109,7 +109,7 @@ def _keys(n: int, percent: int):
                 ids = batch.column(0).take(pa.array(np.repeat(np.arange(lo, hi), [len(k) for k in keys])))
                 yield pa.RecordBatch.from_arrays([ids, pa.array(np.concatenate(keys).view(np.int64))], names=["id", "key"])
 
-    return run
+    return lean(run)
 
 
 def packed(tokens: np.ndarray) -> bytes:
@@ -143,7 +143,7 @@ def _ship(n: int):
                         ids = batch.column(0).take(pa.array(lo + mine))
                         yield pa.RecordBatch.from_arrays([fields[0], fields[1], ids, fields[2], fields[3], pa.array([sets[d] for d in mine], pa.binary())], names=["top", "chunk", "id", "label", "side", "tokens"])
 
-    return run
+    return lean(run)
 
 
 def bitmap(tokens: np.ndarray, bits: int) -> np.ndarray:
@@ -186,7 +186,7 @@ def _sketches(n: int):
                         columns = [fields[0], fields[1], ids, fields[2], fields[3], sizes, pa.array([maps[d] for d in mine], pa.binary())]
                         yield pa.RecordBatch.from_arrays(columns, names=["top", "chunk", "id", "label", "side", "n", "bitmap"])
 
-    return run
+    return lean(run)
 
 
 class SignatureTree:
@@ -360,19 +360,19 @@ def _sifted(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, rows = None, []
         for batch in batches:
-            out = []
-            for row in zip(*(column.to_pylist() for column in batch.columns)):
+            out, maps = [], batch.column(6)
+            for i, row in enumerate(zip(*(batch.column(c).to_pylist() for c in range(6)))):
                 if row[:2] != at:
                     if rows:
                         out += solve(rows)
                     at, rows = row[:2], []
-                rows.append(row)
+                rows.append((*row, maps[i].as_py()))
             if out:
                 yield units(out)
         if rows and (out := solve(rows)):
             yield units(out)
 
-    return run
+    return lean(run)
 
 
 def _walk(percent: int):
@@ -400,7 +400,7 @@ def _walk(percent: int):
         if rows:
             yield _edges(solve(rows))
 
-    return run
+    return lean(run)
 
 
 def _edges(out: list[tuple[int, int]]) -> pa.RecordBatch:

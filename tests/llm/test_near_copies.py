@@ -164,6 +164,26 @@ def test_passages(spark, make_docs):
     assert chaining.drop_passages(docs, found).columns == docs.columns
 
 
+def test_far_segment_hides_no_near_one():
+    """The best-scoring segment lies beyond the gap; the near one is taken."""
+    segs = np.array([[a, b, a, b] for a, b in ([0, 500], [700, 720], [732, 762])])
+    assert chaining.chains(segs) == [[0], [1, 2]]
+    # Near in one text only.
+    segs = np.array([[0, 40, 0, 40], [45, 80, 400, 435], [62, 92, 50, 80]])
+    assert [0, 2] in chaining.chains(segs)
+
+
+def test_fenwick_ranges():
+    rng = random.Random(13)
+    tree, plain = chaining.Fenwick(23), [chaining.NOTHING] * 23
+    for _ in range(2000):
+        i = rng.randrange(23)
+        plain[i] = chaining.NOTHING if rng.random() < 0.3 else (rng.random(), i)
+        tree.put(i, plain[i])
+        low, high = sorted((rng.randrange(24), rng.randrange(24)))
+        assert tree.over(low, high) == max(plain[low:high], default=chaining.NOTHING)
+
+
 def test_chain_keeps_the_best_order():
     import numpy as np
 
