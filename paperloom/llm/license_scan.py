@@ -4,9 +4,10 @@ Blocks are the lines of a text and, with ``across``, overlapping runs of words o
 the whole text, so that a notice wrapped over lines lies within one. Template words are put in one global order, rarest
 first by the number of documents that hold them. A block that contains at least
 ``c`` of a template's ``m`` distinct words must hold one of its ``m - c + 1`` rarest
-(prefix filter), must have ``c`` distinct words at all (length filter), and, if the
-rarest one it holds is the template's ``i``-th, can have at most ``m - i`` more than
-it (positional filter). Blocks and templates meet by a join on those prefix words;
+(prefix filter) and must have ``c`` distinct words at all (length filter). A block's
+words stand in the same order: a meeting of its ``j``-th of ``n`` with the template's
+``i``-th, taken as the first that they share, can lead to ``min(n - j, m - i)`` shared
+words at most, and goes if that is below ``c`` (positional filter). Blocks and templates meet by a join on those prefix words;
 what passes is counted exactly. The templates are fixed, so what they broadcast is
 bounded by their text. DataFrame functions only.
 """
@@ -49,6 +50,18 @@ def needed(m: int, percent: int) -> int:
     return -(-percent * m // 100)
 
 
+def candidates(blocks: DataFrame, order: list[str], prefix: DataFrame, whole: DataFrame) -> DataFrame:
+    """Meetings of blocks (``uid, id, block, words``) with the prefixes of templates that may reach the threshold.
+
+    ``order`` lists the vocabulary, rarest first; ``prefix`` has ``t, word, i`` and
+    ``whole`` ``t, m, c`` and more per template, both as small as the templates are.
+    """
+    ranked = blocks.withColumn("words", F.array_intersect(F.array(*map(F.lit, order)), "words"))
+    entry = ranked.select("uid", "id", "block", "words", F.posexplode("words").alias("j", "word"))
+    met = entry.join(F.broadcast(prefix), "word").join(F.broadcast(whole), "t")
+    return met.where(F.least(F.size("words") - F.col("j"), F.col("m") - F.col("i")) >= F.col("c"))
+
+
 def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrases=PHRASES, templates=TEMPLATES, percent: int = CONTAINMENT, across: bool = False) -> tuple[DataFrame, DataFrame]:
     """Two tables: per row its scan, and every block that meets a template.
 
@@ -104,10 +117,8 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         prefixes += [(t, w, i) for i, w in enumerate(ranked[: len(ranked) - c + 1])]
     prefix = spark.createDataFrame(prefixes, "t int, word string, i int")
     whole = spark.createDataFrame(wholes, "t int, label string, template array<string>, m int, c int")
-    entry = blocks.select("uid", "id", "block", "words", F.explode("words").alias("word"))
-    met = entry.join(F.broadcast(prefix), "word").join(F.broadcast(whole), "t")
+    met = candidates(blocks, order, prefix, whole).where(F.size(F.array_intersect("words", "template")) >= F.col("c"))
     common = F.size(F.array_intersect("words", "template"))
-    met = met.where((F.size("words") >= F.col("c")) & (F.col("m") - F.col("i") >= F.col("c"))).where(common >= F.col("c"))
     met = met.groupBy("uid", "id", "block", "t").agg(F.first("label").alias("label"), F.first(common / F.col("m")).alias("containment"))
     met = written(met.groupBy("uid", "id", "block", "label").agg(F.max("containment").alias("containment")), "license-blocks-met")
     per = met.groupBy("uid").agg(F.collect_set("label").alias("more"), F.max("containment").alias("best"))

@@ -144,7 +144,7 @@ URL_RULES = [
 @query("op3_url_templates")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule and verdict of every page's url."""
-    found = url_templates.url_verdicts(table(spark, sf_dir, "pages"), URL_RULES, by_test=True)
+    found = url_templates.url_verdicts(table(spark, sf_dir, "pages"), URL_RULES)
     return found.withColumnRenamed("id", "page_id")
 
 
@@ -158,10 +158,12 @@ def _op4_sql() -> str:
         c = license_scan.needed(len(words), license_scan.CONTAINMENT)
         blocks.append(f"SELECT doc_id, '{label}' AS label, len(list_intersect(ws, {words!r})) / {len(words)}::DOUBLE AS s FROM l WHERE len(list_intersect(ws, {words!r})) >= {c}")
     pattern = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+    half = max(len(text.split(" ")) for _, text in license_scan.TEMPLATES)
     return f"""
 WITH t AS (SELECT doc_id, {LOWER.format("coalesce(text, '')")} AS text FROM documents),
-w AS (SELECT doc_id, regexp_extract_all(text, '{pattern}') AS ws FROM t),
-l AS (SELECT doc_id, regexp_extract_all(line, '{pattern}') AS ws FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM t)),
+w AS (SELECT doc_id, regexp_extract_all(text, '{pattern}') AS ws, contains(text, chr(10)) AS wrapped FROM t),
+l AS (SELECT doc_id, regexp_extract_all(line, '{pattern}') AS ws FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM t)
+  UNION ALL SELECT doc_id, unnest(list_transform(range(0, greatest(1, CAST(ceil((len(ws) - {half}) / {half}) AS INTEGER))), lambda i: ws[i * {half} + 1:(i + 2) * {half}])) FROM w WHERE wrapped),
 spots AS ({" UNION ALL ".join(spots)}),
 blocks AS ({" UNION ALL ".join(blocks)}),
 b AS (SELECT doc_id, count(*) AS n_base, min(p) AS first_word, max(p) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM spots GROUP BY doc_id),

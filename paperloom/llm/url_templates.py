@@ -4,11 +4,13 @@ Rules decide first. For all other urls a tree per host is grown over path segmen
 level by level: segments that are variable by their form (numbers, long hex, ids,
 mixtures of letters and digits, with any extension kept) become wildcards at once;
 of a node's remaining children those whose labelled block rate does not differ
-significantly from that of their siblings merge into one wildcard; a branch without
-labels has no statistics to be alike by and stays apart, or, in a node with very many
-children, merges with its like only, so the number of siblings decides no verdict.
-Without ``by_test`` all children of such a node merge untested. Each template then has a smoothed purity, its labelled block rate
-drawn towards a low prior, so that it takes evidence of its own to reject one.
+significantly from that of their siblings merge into one branch; a branch without
+labels has no statistics to be alike by and stays apart; the number of siblings plays
+no part. Merged branches and masked segments have names of their own. Each template then has a
+smoothed purity: its labelled block rate on its host, drawn towards the rate of the
+same template over all hosts, which is drawn towards a low prior. So evidence reaches
+hosts without rules, and it takes evidence to reject. A template with a merged branch
+means something else on each host and is drawn towards the low prior alone.
 Labels are the verdicts of the rules. All counting is on distinct (host, path)
 shapes with partial sums, so a hot host or template is added up before it moves.
 """
@@ -23,14 +25,14 @@ from pyspark.sql import functions as F
 from paperloom.llm.graph import written
 from paperloom.session import cut
 
-#: Prior block rate and its weight in urls; z-score that keeps a branch apart; children beyond which a node is variable; purity that rejects.
-PRIOR, STRENGTH, APART, WIDE, REJECT = 0.1, 4.0, 3.0, 50, 0.8
+#: Prior block rate and its weight in urls; z-score that keeps a branch apart; purity that rejects.
+PRIOR, STRENGTH, APART, REJECT = 0.1, 4.0, 3.0, 0.8
 
 #: A segment that names one page rather than a section: digits, hex of 8 or more, or letters and digits mixed.
 VARIABLE = r"^(?:[0-9]+|[0-9A-Fa-f-]{8,}|(?=[^.]*[0-9])[0-9A-Za-z_%~-]{6,})(?=\.|$)"
 
-#: What the unlabelled children of a wide node merge into; no path has an empty segment, so none of its own is alike.
-UNTOLD = "/*"
+#: What alike children merge into: a name that no segment has, since it holds a slash.
+MERGED = "/+"
 
 
 def lower_ascii(c: Column) -> Column:
@@ -55,7 +57,7 @@ def matching_rule(host: Column, path: Column, rules: list[tuple[str, str, str]])
     return name, verdict
 
 
-def _grow(shapes: DataFrame, by_test: bool) -> DataFrame:
+def _grow(shapes: DataFrame) -> DataFrame:
     """``host, segments, n, blocked, labelled`` to the same with ``template``.
 
     One round per level; a path leaves the rounds when its segments are used up
@@ -79,11 +81,9 @@ def _grow(shapes: DataFrame, by_test: bool) -> DataFrame:
         p = (F.col("all_b") + 0.5) / (F.col("all_m") + 1)
         rest_m = F.col("all_m") - F.col("m")
         z = F.abs((F.col("b") + 0.5) / (F.col("m") + 1) - (F.col("all_b") - F.col("b") + 0.5) / (rest_m + 1)) / F.sqrt(p * (1 - p) * (1 / (F.col("m") + 1) + 1 / (rest_m + 1)))
-        alike, wide = (F.col("m") > 0) & (rest_m > 0) & (z < APART), F.col("kids") > WIDE
+        alike = (F.col("m") > 0) & (rest_m > 0) & (z < APART)
         several = open_kid & (F.col("kids") > 1)
-        to = F.when(several & (alike if by_test else wide | alike), "*")
-        if by_test:
-            to = to.when(several & wide & (F.col("m") == 0), UNTOLD)
+        to = F.when(several & alike, MERGED)
         told = kids.join(node, ["host", "template"]).select("host", "template", "child", to.alias("to"), (F.col("all_paths") == 1).alias("alone"))
         step = here.join(told.where("to is not null or alone"), ["host", "template", "child"], "left")
         seen = F.concat("template", F.lit("/"), F.coalesce("to", "child"))
@@ -95,13 +95,12 @@ def _grow(shapes: DataFrame, by_test: bool) -> DataFrame:
     return reduce(DataFrame.union, done).drop("depth", "segments")
 
 
-def url_verdicts(pages: DataFrame, rules: list[tuple[str, str, str]], id_col: str = "page_id", url_col: str = "url", by_test: bool = False) -> DataFrame:
+def url_verdicts(pages: DataFrame, rules: list[tuple[str, str, str]], id_col: str = "page_id", url_col: str = "url") -> DataFrame:
     """Per row: ``id, host, path, rule, verdict, template, purity``.
 
     ``rules`` are (allow or block, host, path). ``template`` and ``purity`` are
     those of the url's host and path, whether a rule fits or not; urls without a
-    host or path have an empty template. With ``by_test`` labelled children merge by
-    the test in nodes of any size. Rows with a null id or
+    host or path have an empty template. Rows with a null id or
     url and repeated rows come back as they are. Without any labelled url
     all purities are the prior and every url is allowed.
     """
@@ -113,8 +112,12 @@ def url_verdicts(pages: DataFrame, rules: list[tuple[str, str, str]], id_col: st
     rows = written(rows.withColumn("path_key", F.concat_ws("/", mask)), "urls")
     counts = rows.groupBy("host", F.col("path_key").alias("path")).agg(F.count("*").alias("n"), F.count_if(F.col("said") == "block").alias("blocked"), F.count("said").alias("labelled"))
     segments = F.when(F.col("path") == "", F.array().cast("array<string>")).otherwise(F.split("path", "/"))
-    tree = written(_grow(counts.withColumn("segments", segments), by_test), "templates")
-    leaves = tree.groupBy("host", "template").agg(((F.sum("blocked") + PRIOR * STRENGTH) / (F.sum("labelled") + STRENGTH)).alias("purity"))
+    tree = written(_grow(counts.withColumn("segments", segments)), "templates")
+    drawn = lambda to: (F.sum("blocked") + to * STRENGTH) / (F.sum("labelled") + STRENGTH)
+    own = tree.groupBy("host", "template").agg(F.sum("blocked").alias("blocked"), F.sum("labelled").alias("labelled"))
+    over_hosts = own.where(~F.contains("template", F.lit(MERGED))).groupBy("template").agg(drawn(F.lit(PRIOR)).alias("prior"))
+    prior = F.coalesce("prior", F.lit(PRIOR))
+    leaves = own.join(over_hosts, "template", "left").select("host", "template", ((F.col("blocked") + prior * STRENGTH) / (F.col("labelled") + STRENGTH)).alias("purity"))
     known = written(tree.select("host", F.col("path").alias("path_key"), "template").join(leaves, ["host", "template"]), "purity")
     out = rows.join(known, ["host", "path_key"], "left")
     verdict = F.coalesce("said", F.when(F.col("purity") >= REJECT, "block").otherwise("allow"))
