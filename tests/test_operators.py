@@ -346,3 +346,18 @@ def test_windows_go_on_and_pad(spark, monkeypatch):
     assert got[1, 0][0] == [1, a, a, a, b, b, 2] and got[2, 0] == ([1, 2, 0, 0, 0, 0, 0], [1, 1, 0, 0, 0, 0, 0]) and got[3, 0][0] == [1, a, b, c, a, b, 2]
     # No word is lost: a sentence goes on in its next window.
     assert got[1, 1] == ([1, c, 2, 0, 0, 0, 0], [1, 1, 1, 0, 0, 0, 0]) and got[3, 1][0] == [1, c, a, 2, 0, 0, 0] and len(got) == 5
+
+
+def test_commands_in_linear_time(spark):
+    """Commands with stars, options and blanks; a long run of blanks behind a command that never ends is read once."""
+    from paperloom.operators import corpus as K
+
+    texts = [
+        r"\citep[see][p. 2]{a}", "\\citeT * {a,b}", "\\citeyearpar [x] [y]\n* {k}", r"\citeyear{y}", r"\citetext{no}", r"\cite{z}", r"\citep[open{k}", r"\citep{}",
+        r"\bibitem [Lee] {q}\BibItem[]{r}", "\\citep" + " " * 100000 + "x", "\\citep" + "[a] " * 20000 + "{k}",
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "n long, t string")
+    got = [r.x for r in df.orderBy("n").select(K.normalise_commands(F.col("t")).alias("x")).collect()]
+    assert got == [
+        r"\cite{a}", r"\cite{a,b}", r"\cite{k}", r"\cite{y}", r"\citetext{no}", r"\cite{z}", r"\citep[open{k}", r"\citep{}", r"\bibitem {q}\bibitem{r}", texts[9], r"\cite{k}",
+    ]
