@@ -56,6 +56,8 @@ def assemble(
             ]
         )
         paras = paras.join(keyed, ["doc_id", "part", "para_no"], "left")
+        empty = {f.name: F.array().cast(f.dataType) for f in keyed.schema if f.name.endswith("_spans")}
+        paras = paras.withColumns({name: F.coalesce(F.col(name), none) for name, none in empty.items()})
     body = F.struct(*[c for c in paras.columns if c not in ("doc_id", "part", "para_no")])
     nested = paras.groupBy("doc_id").agg(*[ordered_items(F.col("para_no"), F.when(F.col("part") == p, body)).alias(p) for p in PARTS])
     out = meta.join(nested, "doc_id", "left")
