@@ -361,3 +361,12 @@ def test_commands_in_linear_time(spark):
     assert got == [
         r"\cite{a}", r"\cite{a,b}", r"\cite{k}", r"\cite{y}", r"\citetext{no}", r"\cite{z}", r"\citep[open{k}", r"\citep{}", r"\bibitem {q}\bibitem{r}", texts[9], r"\cite{k}",
     ]
+
+
+def test_empty_text_is_no_number_and_named_references_stay_exact(spark):
+    given = ["a &lt;b&gt; &amp;lt; &amp;amp; &bad; & x", "&#65;&amp;#66; &#x43; &quot;&apos;&nbsp;", "&&lt;lt;", "", None, "&#1114112; &#; &lt"]
+    df = spark.createDataFrame(list(enumerate(given)), "i int, t string")
+    got = [r[0] for r in df.orderBy("i").select(text.unescape(F.col("t"))).collect()]
+    assert got == ["a <b> &lt; &amp; &bad; & x", "A&#66; C \"'\xa0", "&<lt;", "", None, "&#1114112; &#; &lt"]
+    numbers = spark.createDataFrame([("12",), ("",), ("x",), (None,)], "t string").select(text.number(F.col("t"))).collect()
+    assert [r[0] for r in numbers] == [12, None, None, None]
