@@ -370,3 +370,12 @@ def test_empty_text_is_no_number_and_named_references_stay_exact(spark):
     assert got == ["a <b> &lt; &amp; &bad; & x", "A&#66; C \"'\xa0", "&<lt;", "", None, "&#1114112; &#; &lt"]
     numbers = spark.createDataFrame([("12",), ("",), ("x",), (None,)], "t string").select(text.number(F.col("t"))).collect()
     assert [r[0] for r in numbers] == [12, None, None, None]
+
+
+def test_markup_is_spread_by_what_it_holds(spark, monkeypatch):
+    monkeypatch.setattr("paperloom.operators.tokens.TASK_CHARS", 100)
+    papers = docs(spark, *["<a>" + "x" * 93 + "</a>"] * 9)
+    assert T.task_count(papers, F.col("xml")) == 9
+    assert T.task_count(papers.where("false"), F.col("xml")) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spread = T.tokenise(papers).select(F.spark_partition_id().alias("p"), "doc_id").distinct()
+    assert spread.count() == 9 and spread.select("p").distinct().count() > 2
