@@ -124,7 +124,7 @@ def _finish(spark, q, path, schema):
 
 @query("g1_continuous_ingest", f"SELECT file, section, sentence, coordinates FROM ({_SENTENCE_ROWS})")
 def g1_continuous_ingest(spark, sf_dir):
-    stream = G.file_stream(spark, sf_dir, _DOCUMENTS, "documents.parquet")
+    stream = G.table_stream(spark, f"{sf_dir}/documents.parquet", _DOCUMENTS)
     path = work_path(spark, "ingest")
     flat = lambda batch: P.flatten_sentences(document_papers(spark, sf_dir, batch))
     q = G.ingest(stream, flat, path, work_path(spark, "ingest-state"))
@@ -133,7 +133,7 @@ def g1_continuous_ingest(spark, sf_dir):
 
 @query("g2_drop_repeats", "SELECT event_type AS dataset, user_id AS filename, epoch_us(min(ts)) AS first_us FROM events GROUP BY event_type, user_id")
 def g2_drop_repeats(spark, sf_dir):
-    stream = G.file_stream(spark, sf_dir, _EVENTS, "events.parquet")
+    stream = G.table_stream(spark, f"{sf_dir}/events.parquet", _EVENTS)
     rows = stream.select(F.col("event_type").alias("dataset"), F.col("user_id").alias("filename"), "ts")
     path = work_path(spark, "announced")
     log = _finish(spark, G.append_table(rows, path, work_path(spark, "announced-state")), path, "dataset string, filename long, ts timestamp")

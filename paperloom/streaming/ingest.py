@@ -25,6 +25,14 @@ def file_stream(spark: SparkSession, folder: str, schema: str, pattern: str = "*
     return reader.parquet(folder)
 
 
+def table_stream(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Files of the table at ``path``, be it one file or a folder of them, as a
+    stream. The path goes in as a pattern, since a stream takes a plain one for
+    a folder."""
+    folder, name = path.rstrip("/").rsplit("/", 1)
+    return file_stream(spark, f"{folder}/{{{name}}}", schema)
+
+
 def ingest(stream: DataFrame, transform: Callable[[DataFrame], DataFrame], path: str, checkpoint: str) -> StreamingQuery:
     """G1: each new document goes through the batch ``transform``, whatever
     windows and joins it holds. Batch ``n`` owns the folder ``batch=n`` and

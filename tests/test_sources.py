@@ -171,3 +171,14 @@ def test_snapshot_and_deltas(spark, tmp_path):
     table.compact()
     assert table.pointer()[0] == 1 and rows(table.read()) == [("a", 2, "a2"), ("b", 5, "b5"), ("c", 1, "c1")]
     assert table.deltas(table.pointer()[2]).count() == 0
+
+
+def test_table_of_files_as_stream(spark, tmp_path):
+    """A table is streamed whole, be it one file or a folder of several."""
+    for name, parts in (("one", 1), ("many", 3)):
+        spark.range(10).repartition(parts).write.parquet(str(tmp_path / f"{name}.parquet"))
+    single = next((tmp_path / "one.parquet").glob("part-*")).rename(tmp_path / "file.parquet")
+    for name in ("many.parquet", single.name):
+        out = str(tmp_path / f"out-{name}")
+        ingest.ingest(ingest.table_stream(spark, str(tmp_path / name), "id long"), lambda b: b, out, str(tmp_path / f"state-{name}")).awaitTermination()
+        assert [r[0] for r in rows(spark.read.schema("id long").parquet(out))] == list(range(10))
