@@ -222,6 +222,14 @@ def test_nested_marks(spark):
     assert rows(got, "kind", "start", "end", "text", "ref_id") == [("cite", 1, 4, "1a2", "r1"), ("sub", 3, 4, "2", None), ("sup", 2, 4, "a2", None)]
 
 
+def test_marks_read_their_tokens_once(spark):
+    """Paragraph text and marks come from one pass: no join brings the tokens in again."""
+    x = "<b><p> a  <sup> b </sup>  <i> c</i></p><p>  <xref> </xref> d</p></b>"
+    got = N.marked_spans(T.tokenise(docs(spark, x)))
+    assert "Join" not in got._jdf.queryExecution().optimizedPlan().toString()
+    assert rows(got, "para_pos", "kind", "start", "end", "text", "para_text") == [(1, "sup", 3, 6, " b ", " a  b  c"), (11, None, 1, 2, " ", "  d")]
+
+
 # entities
 
 
