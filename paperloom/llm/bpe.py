@@ -24,6 +24,7 @@ from collections.abc import Iterator
 from functools import cached_property, lru_cache
 from itertools import islice
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
@@ -308,8 +309,12 @@ def _coded(path: str):
                 hi, size = lo, 0
                 while hi < len(sizes) and (hi == lo or size + sizes[hi] <= PIECE):
                     size, hi = size + sizes[hi], hi + 1
-                ids = [list(c.encode(t.as_py() or "")) for t in batch.column(1).slice(lo, hi - lo)]
-                texts = ["".join(c.decode(iter(x))) for x in ids]
+                ids, texts = [], []
+                for value in batch.column(1).slice(lo, hi - lo):
+                    # Decoded texts of words stand beside their ids; a blank joins them, as it joins tokens.
+                    found = [x for runs in c.runs(value.as_py() or "") for x in runs]
+                    ids.append(np.array(" ".join([x[0] for x in found]).split(), np.int32))
+                    texts.append(" ".join([x[2] for x in found]))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(ids, pa.list_(pa.int32())), pa.array(texts, pa.string())], names=["id", "ids", "decoded"])
                 lo = hi
 

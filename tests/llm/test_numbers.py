@@ -5,6 +5,7 @@ import math
 import random
 
 import duckdb
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -195,3 +196,17 @@ def test_pipeline_stages(spark):
             library = tokenizers.Tokenizer.from_file(word_bpe_path())
             for r in docs.collect():
                 assert r["ids"] == library.encode(before[r["doc_id"]], add_special_tokens=False).ids
+
+
+def test_words_met_again_are_not_decoded_again(monkeypatch):
+    calls = []
+    decode = bpe.Codec.decode
+    monkeypatch.setattr(bpe.Codec, "decode", lambda self, ids: calls.append(1) or decode(self, ids))
+    bpe.codec.cache_clear()
+    texts = pa.array(["one two one", "two  one\n", "", None])
+    (out,) = bpe._coded(word_bpe_path())(iter([pa.record_batch([pa.array([1, 2, 3, 4]), texts], names=["id", "text"])]))
+    bpe.codec.cache_clear()
+    assert len(calls) == 2
+    ids, decoded = out.column("ids").to_pylist(), out.column("decoded").to_pylist()
+    assert ids[0][0] == ids[0][-1] and len(ids[0]) == len(ids[1]) + len(ids[0]) // 3 and ids[2:] == [[], []] and decoded[2:] == ["", ""]
+    assert decoded[0] == " ".join([decoded[0].split(" ")[0], decoded[1]])
