@@ -387,3 +387,18 @@ def test_markup_is_spread_by_what_it_holds(spark, monkeypatch):
     assert T.task_count(papers.where("false"), F.col("xml")) == int(spark.conf.get("spark.sql.shuffle.partitions"))
     spread = T.tokenise(papers).select(F.spark_partition_id().alias("p"), "doc_id").distinct()
     assert spread.count() == 9 and spread.select("p").distinct().count() > 2
+
+
+def test_item_fields_join_texts_without_collecting_aggregates(spark):
+    x = '<l><title>Out<ref id="r1"/>side</title><ref id="r2"><source>A <b>b</b> &amp;<i/> c</source><year>2000</year><source/></ref></l>'
+    fields = E.item_fields(T.raw_tokens(docs(spark, x)), "ref", ("source", "year", "title"), ("id",))
+    assert rows(fields, "tag", "text", "@id") == [("ref", "", "r2"), ("source", "", None), ("source", "A b & c", None), ("year", "2000", None), (None, "", None)]
+    assert "ObjectHashAggregate" not in fields._jdf.queryExecution().executedPlan().toString()
+
+
+def test_contributor_names_inside_and_outside_of_name(spark):
+    x = '<front><contrib corresp="yes"><surname>Out</surname><name><surname>De <b>La</b></surname><given-names>Ann B</given-names></name><xref rid="a1" ref-type="aff">1</xref></contrib></front>'
+    out = E.jats_contributors(T.tokenise(docs(spark, x)))
+    assert rows(out, "first", "last", "corresponding", "affiliation_ids") == [("Ann", "De La", True, ["a1"])]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "keys=[doc_id#" not in "".join(line for line in plan.split("\n") if "_u#" in line and "ObjectHashAggregate" in line)
