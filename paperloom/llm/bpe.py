@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from paperloom.llm.bytetext import PIECE
+from paperloom.llm.bytetext import PIECE, lean
 
 #: Words kept with their tokens in each of two generations. Only words of up to CACHED characters enter.
 CACHE_WORDS, CACHED = 200_000, 32
@@ -272,6 +272,11 @@ class Codec:
         yield state.decode(b"", True)
 
 
+    def forget(self) -> None:
+        """Let go of the remembered words."""
+        self.cache, self.older = {}, {}
+
+
 @lru_cache(2)
 def codec(path: str) -> Codec:
     return Codec(path)
@@ -300,8 +305,9 @@ def _digests(path: str):
 
 
 def _coded(path: str):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = codec(path)
+    """Words are forgotten at the end of a task, since its worker goes on to stages that need the memory."""
+
+    def coded(c: Codec, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lo = 0
             sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_pylist()
@@ -318,7 +324,14 @@ def _coded(path: str):
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(ids, pa.list_(pa.int32())), pa.array(texts, pa.string())], names=["id", "ids", "decoded"])
                 lo = hi
 
-    return run
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        c = codec(path)
+        try:
+            yield from coded(c, batches)
+        finally:
+            c.forget()
+
+    return lean(run)
 
 
 def encode_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -210,3 +210,11 @@ def test_words_met_again_are_not_decoded_again(monkeypatch):
     ids, decoded = out.column("ids").to_pylist(), out.column("decoded").to_pylist()
     assert ids[0][0] == ids[0][-1] and len(ids[0]) == len(ids[1]) + len(ids[0]) // 3 and ids[2:] == [[], []] and decoded[2:] == ["", ""]
     assert decoded[0] == " ".join([decoded[0].split(" ")[0], decoded[1]])
+
+
+def test_pipeline_tokens_forget_words_after_a_task():
+    batch = pa.record_batch([pa.array([1]), pa.array(["some words that a worker must not keep"])], names=["id", "text"])
+    (out,) = bpe._coded(word_bpe_path())(iter([batch]))
+    assert out.column(1)[0].as_py()
+    c = bpe.codec(word_bpe_path())
+    assert not c.cache and not c.older
