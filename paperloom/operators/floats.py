@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from paperloom.functions.ids import tei_key
 from paperloom.functions.text import attr, blank_to_null, first_by, ordered_concat, ordered_list, soften_ws, tidy
-from paperloom.operators.tokens import attr_of, rename_tags, within
+from paperloom.operators.tokens import attr_of, rename_tags, with_openers, within
 
 # Order in which kinds of entry override each other.
 ENTRY_PRECEDENCE = ["equation", "figure", "table", "footnote", "section"]
@@ -172,37 +172,36 @@ def table_cells(tokens: DataFrame, table: tuple[str, ...] = ("float", "table"))
     The children of a cell are joined by a space; a formula gives its reading
     in ``text`` and its source in ``latex``."""
     marked = within(tokens, _f=table, _r="row", _c="cell", _fm="formula", _m="math", _x="texmath").where("_f is not null")
-    own_id = F.min(F.when(F.col("pos") == F.col("_f"), attr(F.col("tok"), "id"))).over(W.partitionBy("doc_id", "_f"))
-    marked = marked.withColumn("_id", own_id).where("_r is not null")
+    # What a cell shares with its row and table is carried along the order that the tokens have already; sorting them by table, by row
+    # and by child of a cell cost more than all else.
+    marked = with_openers(marked, _table="_f", _row="_r").where("_r is not null")
     upto = W.partitionBy("doc_id").orderBy("pos").rowsBetween(W.unboundedPreceding, 0)
-    base = F.last(F.when(F.col("pos") == F.col("_c"), F.col("depth")), ignorenulls=True).over(upto)
-    marked = marked.withColumn("_base", base)
-    child = F.col("_c").isNotNull() & (F.col("depth") == F.col("_base") + 1) & (F.col("kind") != "close")
-    marked = marked.withColumn("_n", F.sum(F.when(child, 1).otherwise(0)).over(upto))
+    marked = marked.withColumn("_base", F.last(F.when(F.col("pos") == F.col("_c"), F.col("depth")), ignorenulls=True).over(upto))
+    rows = marked.where("_c is not null and kind <> 'close'")
+    # Each child of a cell sets in with a space; spaces are collapsed in the end.
+    lead = F.when(F.col("depth") == F.col("_base") + 1, " ").otherwise("")
     plain = F.col("_fm").isNull()
-    kids = marked.groupBy("doc_id", "_f", "_r", "_c", "_n").agg(
-        F.max(F.when(child, True)).alias("_kid"),
-        ordered_concat(F.col("pos"), F.when(plain | F.col("_m").isNotNull(), F.col("text"))).alias("_t"),
-        ordered_concat(F.col("pos"), F.when(plain | F.col("_x").isNotNull(), F.col("text"))).alias("_s"),
-        F.min("_id").alias("_id"), _own("_c", "halign").alias("alignment"),
-        _own("_c", "left-border").alias("_lb"), _own("_c", "right-border").alias("_rb"),
-        _own("_r", "top-border").alias("_tb"), _own("_r", "bottom-border").alias("_bb"),
+    said = lambda inner: F.concat(lead, F.when(plain | inner.isNotNull(), F.coalesce("text", F.lit(""))).otherwise(""))
+    cells = rows.groupBy("doc_id", "_f", "_r", "_c").agg(
+        F.min("_table").alias("_table"), F.min("_row").alias("_row"), F.min(F.when(F.col("pos") == F.col("_c"), F.col("tok"))).alias("_cell"),
+        tidy(ordered_concat(F.col("pos"), blank_to_null(said(F.col("_m"))))).alias("text"),
+        tidy(ordered_concat(F.col("pos"), blank_to_null(said(F.col("_x"))))).alias("latex"),
     )
-    flag = lambda c: F.coalesce(F.min(c) == "true", F.lit(False))
-    row = W.partitionBy("doc_id", "_f", "_r")
-    tab = W.partitionBy("doc_id", "_f")
-    spread = kids.withColumns({"_tb": F.min("_tb").over(row), "_bb": F.min("_bb").over(row)})
-    cells = spread.where("_c is not null").groupBy("doc_id", "_f", "_r", "_c").agg(
-        F.min("_id").alias("table_id"), F.min("alignment").alias("alignment"), flag("_lb").alias("left_border"), flag("_rb").alias("right_border"),
-        flag("_tb").alias("top_border"), flag("_bb").alias("bottom_border"),
-        tidy(ordered_concat(F.col("_n"), F.when(F.col("_kid"), F.col("_t")), " ")).alias("text"),
-        tidy(ordered_concat(F.col("_n"), F.when(F.col("_kid"), F.col("_s")), " ")).alias("latex"),
+    # One order of the cells serves both numbers; a cell sets in a row if none of that row stands ahead.
+    tab = W.partitionBy("doc_id", "_f").orderBy("_r", "_c")
+    numbered = cells.withColumns({"_nth": F.row_number().over(tab), "_sets": F.coalesce(F.lag("_r").over(tab) != F.col("_r"), F.lit(True))})
+    upto = tab.rowsBetween(W.unboundedPreceding, 0)
+    numbered = numbered.withColumns(
+        {
+            "row_no": (F.sum(F.when(F.col("_sets"), 1).otherwise(0)).over(upto) - 1).cast("int"),
+            "col_no": (F.col("_nth") - F.last(F.when(F.col("_sets"), F.col("_nth")), ignorenulls=True).over(upto)).cast("int"),
+        }
     )
-    return cells.select(
-        "doc_id", "table_id",
-        (F.dense_rank().over(tab.orderBy("_r")) - 1).cast("int").alias("row_no"),
-        (F.row_number().over(row.orderBy("_c")) - 1).cast("int").alias("col_no"),
-        "alignment", "left_border", "right_border", "top_border", "bottom_border", "text", "latex",
+    flag = lambda token, name: F.coalesce(attr(F.col(token), name) == "true", F.lit(False))
+    return numbered.select(
+        "doc_id", attr(F.col("_table"), "id").alias("table_id"), "row_no", "col_no", attr(F.col("_cell"), "halign").alias("alignment"),
+        flag("_cell", "left-border").alias("left_border"), flag("_cell", "right-border").alias("right_border"),
+        flag("_row", "top-border").alias("top_border"), flag("_row", "bottom-border").alias("bottom_border"), "text", "latex",
     )
 
 

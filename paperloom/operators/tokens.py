@@ -137,6 +137,16 @@ def within(tokens: DataFrame, **targets: str | tuple[str, ...]) -> DataFrame:
     return out.withColumns(openers).drop(*cols)
 
 
+def with_openers(marked: DataFrame, **units: str) -> DataFrame:
+    """Add, per keyword, the opening token of the element that ``within`` has
+    marked in the column named, to all that stands in it: carried along the
+    order the tokens have, so nothing is sorted by element."""
+    upto = _doc_order().rowsBetween(W.unboundedPreceding, 0)
+    seen = {name: F.last(F.when(F.col("pos") == F.col(unit), F.struct("pos", "tok")), ignorenulls=True).over(upto) for name, unit in units.items()}
+    own = {name: F.when(F.col(f"{name}.pos") == F.col(unit), F.col(f"{name}.tok")) for name, unit in units.items()}
+    return marked.withColumns(seen).withColumns(own)
+
+
 def only(tokens: DataFrame, *tags: str) -> DataFrame:
     """Text and the given tags; the other tags say nothing to the operator, and
     dropping them first keeps the ordered passes short. The tag is asked for

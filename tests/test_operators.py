@@ -10,6 +10,7 @@ from paperloom.functions import ids, scan, text
 from paperloom.operators import citations as C
 from paperloom.operators import corpus as K
 from paperloom.operators import entities as E
+from paperloom.operators import floats as L
 from paperloom.operators import papers as P
 from paperloom.operators import sections as S
 from paperloom.operators import spans as N
@@ -402,3 +403,28 @@ def test_contributor_names_inside_and_outside_of_name(spark):
     assert rows(out, "first", "last", "corresponding", "affiliation_ids") == [("Ann", "De La", True, ["a1"])]
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "keys=[doc_id#" not in "".join(line for line in plan.split("\n") if "_u#" in line and "ObjectHashAggregate" in line)
+
+
+def sorts(df):
+    """Sorts in the plan of a query."""
+    return df._jdf.queryExecution().executedPlan().toString().count(" Sort [")
+
+
+def test_table_cells_are_cut_in_the_order_of_the_tokens(spark):
+    x = (
+        '<d><float id="t1"><row top-border="true"><cell halign="left">a <b>b</b><formula><math>x</math><texmath>$x$</texmath></formula></cell>between<cell/></row>'
+        '<row bottom-border="true"><cell right-border="true"><table id="in"><row top-border="true"><cell>deep</cell></row></table>t</cell></row></float>'
+        '<row><cell>outside</cell></row><table><row><cell left-border="true"><i/>1<i/>2</cell></row></table></d>'
+    )
+    cells = L.table_cells(T.tokenise(docs(spark, x)))
+    names = ("table_id", "row_no", "col_no", "alignment", "left_border", "right_border", "top_border", "bottom_border", "text", "latex")
+    got = sorted((tuple(r) for r in cells.select(*names).collect()), key=str)
+    assert got == sorted(
+        [
+            ("t1", 0, 0, "left", False, False, True, False, "a b x", "a b $x$"), ("t1", 0, 1, None, False, False, True, False, "", ""),
+            ("t1", 1, 0, None, False, True, False, True, "deep t", "deep t"), (None, 0, 0, None, True, False, False, False, "1 2", "1 2"),
+        ],
+        key=str,
+    )
+    # One by document and place, one of the finished cells.
+    assert sorts(cells) == 2
