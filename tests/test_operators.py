@@ -428,3 +428,13 @@ def test_table_cells_are_cut_in_the_order_of_the_tokens(spark):
     )
     # One by document and place, one of the finished cells.
     assert sorts(cells) == 2
+
+
+def test_floats_are_read_without_a_sort_of_their_own(spark):
+    x = (
+        '<d><float name="figure" id="uid1" id-text="1"><figure file="a" extension="png"/><caption>One  <formula><texmath>$x$</texmath></formula></caption></float>'
+        '<float name="table" id="uid2"><figure file="no"/></float><figure id="uid3" file="b">Bare</figure><float id="uid4"><caption>none</caption></float></d>'
+    )
+    figures = L.latex_figures(T.tokenise(docs(spark, x)))
+    assert rows(figures, "ref_id", "num", "text", "uris") == [("FIGREF1", "1", "One", ["a.png"]), ("FIGREF3", None, "Bare", ["b"])]
+    assert "unboundedfollowing" not in figures._jdf.queryExecution().executedPlan().toString()
