@@ -20,9 +20,9 @@ import hashlib
 import heapq
 import json
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import cached_property, lru_cache
-from itertools import islice
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +38,8 @@ from paperloom.llm.bytetext import PIECE, lean
 CACHE_WORDS, CACHED = 200_000, 32
 #: Characters of a text that are cut into words at once.
 SEGMENT = 1 << 18
+#: From this many new words on they are merged together, in tables of at most CHUNK words.
+TOGETHER, CHUNK = 128, 2048
 
 
 def byte_alphabet() -> dict[int, str]:
@@ -120,6 +122,68 @@ class MergeList:
                     heapq.heappush(heap, (rank[p], x, p))
         return [s for s in symbols if s]
 
+    @cached_property
+    def tables(self) -> tuple[np.ndarray, ...]:
+        """Symbols by number: of each byte, of each byte at the end of a word, sorted pairs that merge, their ranks, the symbol a rank makes, and the id of each symbol (-1 outside the vocabulary)."""
+        numbers: dict[str, int] = {}
+        number = lambda symbol: numbers.setdefault(symbol, len(numbers))
+        alphabet = byte_alphabet()
+        single = np.array([number(alphabet[b]) for b in range(256)])
+        last = np.array([number(alphabet[b] + self.end) for b in range(256)])
+        pairs = np.array([(number(a), number(b), number(a + b)) for a, b in self.rank], np.int64).reshape(-1, 3)
+        keys = (pairs[:, 0] << 32) + pairs[:, 1]
+        ranks = np.argsort(keys)
+        return single, last, keys[ranks], ranks, pairs[:, 2], np.array([self.vocab.get(symbol, -1) for symbol in numbers])
+
+    def _rank_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        _, _, keys, ranks, made, _ = self.tables
+        wanted = (left << 32) + right
+        at = np.minimum(np.searchsorted(keys, wanted), max(len(keys) - 1, 0))
+        return np.where(keys[at] == wanted, ranks[at], len(made)) if len(keys) else np.full(wanted.shape, 0)
+
+    def merge_words(self, words: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """The rounds of ``merge`` on many words at once, one pair of each word a round: places of the words in the list, the ids of all one after the other, and how many each word has."""
+        single, last, _, _, made, ids = self.tables
+        none = len(made)
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        order = np.argsort(lengths, kind="stable")
+        for first in range(0, len(words), CHUNK):
+            places = order[first : first + CHUNK]
+            size = lengths[places]
+            n, width = len(places), int(size.max())
+            inside = np.arange(width) < size[:, None]
+            letters = np.zeros((n, width), np.uint8)
+            letters[inside] = np.frombuffer(b"".join([words[i] for i in places.tolist()]), np.uint8)
+            symbols = single[letters]
+            symbols[np.arange(n), size - 1] = last[letters[np.arange(n), size - 1]]
+            ranks = np.full((n, width), none)
+            ranks[:, :-1] = np.where(inside[:, 1:], self._rank_of(symbols[:, :-1], symbols[:, 1:]), none)
+            after = np.tile(np.arange(1, width + 1), (n, 1))
+            before = after - 2
+            live = np.arange(n)
+            while True:
+                # The first of the least ranks of a word is the leftmost.
+                at = ranks[live].argmin(1)
+                best = ranks[live, at]
+                live, at, best = live[best < none], at[best < none], best[best < none]
+                if not len(live):
+                    break
+                gone = after[live, at]
+                then = after[live, gone]
+                symbols[live, at], after[live, at] = made[best], then
+                inside[live, gone], ranks[live, gone], ranks[live, at] = False, none, none
+                more = then < size[live]
+                row, here, then = live[more], at[more], then[more]
+                before[row, then] = here
+                ranks[row, here] = self._rank_of(symbols[row, here], symbols[row, then])
+                ahead = before[live, at]
+                row, here, ahead = live[ahead >= 0], at[ahead >= 0], ahead[ahead >= 0]
+                ranks[row, ahead] = self._rank_of(symbols[row, ahead], symbols[row, here])
+            found = ids[symbols]
+            # A symbol outside the vocabulary has no id and leaves no token.
+            inside &= found >= 0
+            yield places, found[inside], inside.sum(1)
+
     def tokens(self, chars: Iterator[str]) -> Iterator[str]:
         """Tokens of one word, given as its characters, each as soon as it is stable.
 
@@ -164,8 +228,8 @@ class Codec:
         self.bytes_of = {c: b for b, c in self.alphabet.items()}
         self.text_of = {i: t for t, i in (model["vocab"] | self.special).items()}
         self.path = path
-        self.cache: dict[str, tuple[str, int, str]] = {}
-        self.older: dict[str, tuple[str, int, str]] = {}
+        self.cache: dict[str, tuple[bytes, int, str]] = {}
+        self.older: dict[str, tuple[bytes, int, str]] = {}
 
     @cached_property
     def library(self) -> Tokenizer:
@@ -204,41 +268,81 @@ class Codec:
         # A symbol outside the vocabulary has no id and leaves no token.
         return (vocab[t] for t in self.merges.tokens(chars) if t in vocab)
 
-    def run(self, ids: list[int]) -> tuple[str, int, str]:
-        return " ".join(map(str, ids)), len(ids), "".join(self.decode(iter(ids)))
+    def run(self, ids: list[int]) -> tuple[bytes, int, str]:
+        return np.array(ids, np.int32).tobytes(), len(ids), "".join(self.decode(iter(ids)))
 
-    def runs(self, text: str) -> Iterator[list[tuple[str, int, str]]]:
-        """Decimal ids, their number and their decoded text for each word, a segment at a time."""
-        cache = self.cache
+    def segments(self, text: str) -> Iterator[list[str] | int]:
+        """Words of a text, a segment at a time; a special token stands between them as its id."""
         for part in self.split_special.split(text) if "<|" in text else (text,):
             if part in self.special:
-                yield [self.run([self.special[part]])]
+                yield self.special[part]
+            else:
+                yield from self.words(part)
+
+    def known(self, words: Iterable[str]) -> dict[str, tuple[bytes, int, str]]:
+        """Runs of different words but those too long to be remembered. New ones are merged together."""
+        out, new = {}, []
+        for word in words:
+            if len(word) > CACHED:
+                continue
+            run = self.cache.get(word)
+            if run is None:
+                run = self.older.get(word)
+                if run is None:
+                    new.append(word)
+                    continue
+                self.remember(word, run)
+            out[word] = run
+        if len(new) < TOGETHER:
+            made = ((word, self.run(list(self.word_ids(word)))) for word in new)
+        else:
+            made = self.merged(new)
+        for word, run in made:
+            self.remember(word, run)
+            out[word] = run
+        return out
+
+    def remember(self, word: str, run: tuple[bytes, int, str]) -> None:
+        if len(self.cache) >= CACHE_WORDS:
+            # The full generation becomes the old one; words met again come back from it.
+            self.older, self.cache = self.cache, {}
+        self.cache[word] = run
+
+    def merged(self, words: list[str]) -> Iterator[tuple[str, tuple[bytes, int, str]]]:
+        for places, ids, sizes in self.merges.merge_words([word.encode("utf-8") for word in words]):
+            raw, listed, lo = ids.astype(np.int32).tobytes(), ids.tolist(), 0
+            for place, n in zip(places.tolist(), sizes.tolist()):
+                hi = lo + n
+                yield words[place], (raw[4 * lo : 4 * hi], n, "".join(self.decode(iter(listed[lo:hi]))))
+                lo = hi
+
+    def runs_of(self, words: list[str] | int, known: dict[str, tuple[bytes, int, str]]) -> list[tuple[bytes, int, str]]:
+        """Ids as int32, their number and their decoded text for each word of a segment, those in ``known`` taken from there."""
+        if isinstance(words, int):
+            return [self.run([words])]
+        found = list(map(known.get, words))
+        if None not in found:
+            return found
+        out = []
+        for word, run in zip(words, found):
+            if run is not None:
+                out.append(run)
                 continue
-            for words in self.words(part):
-                out = []
-                for word in words:
-                    known = cache.get(word)
-                    if known is None:
-                        known = self.older.get(word)
-                        if known is None:
-                            if len(word) > CACHED:
-                                ids = self.word_ids(word)
-                                while block := list(islice(ids, 4096)):
-                                    out.append(self.run(block))
-                                continue
-                            known = self.run(list(self.word_ids(word)))
-                        if len(cache) >= CACHE_WORDS:
-                            # The full generation becomes the old one; words met again come back from it.
-                            self.older, self.cache = cache, {}
-                            cache = self.cache
-                        cache[word] = known
-                    out.append(known)
-                yield [x for x in out if x[1]]
+            ids = self.word_ids(word)
+            while block := list(islice(ids, 4096)):
+                out.append(self.run(block))
+        return out
+
+    def runs(self, text: str) -> Iterator[list[tuple[bytes, int, str]]]:
+        """Runs of the words of a text that have any token, a segment at a time."""
+        for words in self.segments(text):
+            known = {} if isinstance(words, int) else self.known(dict.fromkeys(words))
+            yield [x for x in self.runs_of(words, known) if x[1]]
 
     def encode(self, text: str) -> Iterator[int]:
         for runs in self.runs(text):
             for ids, _, _ in runs:
-                yield from map(int, ids.split(" "))
+                yield from _listed(ids)
 
     def decode(self, ids: Iterator[int]) -> Iterator[str]:
         """Text of a stream of ids, piece by piece, special tokens kept; an unknown id adds nothing.
@@ -282,6 +386,10 @@ def codec(path: str) -> Codec:
     return Codec(path)
 
 
+def _listed(ids: bytes) -> list[int]:
+    return np.frombuffer(ids, np.int32).tolist()
+
+
 def _digests(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(path)
@@ -294,7 +402,7 @@ def _digests(path: str):
                         continue
                     gap = " " if n else ""
                     n += sum([x[1] for x in runs])
-                    ids_sum.update((gap + " ".join([x[0] for x in runs])).encode("ascii"))
+                    ids_sum.update((gap + " ".join(map(str, _listed(b"".join([x[0] for x in runs]))))).encode("ascii"))
                     text_sum.update((gap + " ".join([x[2] for x in runs])).encode("utf-8"))
                 counts.append(n)
                 ids_sums.append(ids_sum.hexdigest())
@@ -315,11 +423,14 @@ def _coded(path: str):
                 hi, size = lo, 0
                 while hi < len(sizes) and (hi == lo or size + sizes[hi] <= PIECE):
                     size, hi = size + sizes[hi], hi + 1
+                cut = [list(c.segments(value.as_py() or "")) for value in batch.column(1).slice(lo, hi - lo)]
+                # The new words of all these texts are merged at once.
+                known = c.known(dict.fromkeys(chain.from_iterable(words for parts in cut for words in parts if not isinstance(words, int))))
                 ids, texts = [], []
-                for value in batch.column(1).slice(lo, hi - lo):
+                for parts in cut:
                     # Decoded texts of words stand beside their ids; a blank joins them, as it joins tokens.
-                    found = [x for runs in c.runs(value.as_py() or "") for x in runs]
-                    ids.append(np.array(" ".join([x[0] for x in found]).split(), np.int32))
+                    found = [x for words in parts for x in c.runs_of(words, known) if x[1]]
+                    ids.append(np.frombuffer(b"".join([x[0] for x in found]), np.int32))
                     texts.append(" ".join([x[2] for x in found]))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(ids, pa.list_(pa.int32())), pa.array(texts, pa.string())], names=["id", "ids", "decoded"])
                 lo = hi

@@ -79,6 +79,23 @@ def test_words_come_back_from_the_older_generation(library, monkeypatch):
         assert len(c.cache) <= 3 and len(c.older) <= 3
 
 
+def test_new_words_are_merged_together(library, monkeypatch):
+    """Words met for the first time in one piece of texts go through the rounds at once, not one by one."""
+    c = bpe.Codec(word_bpe_path())
+    rng = random.Random(7)
+    words = list(dict.fromkeys("".join(rng.choice(rng.choice(["aeinrst", "é日ß👍", "abcdefghijklmnopqrstuvwxyz", "!?.*"])) for _ in range(rng.randint(1, 32))) for _ in range(9000)))
+    raw = [w.encode() for w in words]
+    together = {}
+    for places, ids, sizes in c.merges.merge_words(raw):
+        ends = sizes.cumsum()
+        together |= {words[i]: ids[e - n : e].tolist() for i, e, n in zip(places, ends, sizes)}
+    assert together == {w: list(c.word_ids(w)) for w in words}
+    monkeypatch.setattr(bpe.MergeList, "merge", None)
+    texts = [" ".join(words[i : i + 50]) for i in range(0, 3000, 50)]
+    (out,) = bpe._coded(word_bpe_path())(iter([pa.record_batch([pa.array(range(60)), pa.array(texts)], names=["id", "text"])]))
+    assert out.column("ids").to_pylist() == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_plain_text(library):
     c = bpe.codec(word_bpe_path())
     ids = c.encode("Ça va 👍🏽, l'été?<|endoftext|>")
