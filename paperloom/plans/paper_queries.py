@@ -8,7 +8,7 @@ from paperloom.operators import sections as S
 from paperloom.operators.entities import tei_bibliography
 from paperloom.plans.adapters import CITES, SENTENCES, cites, document_papers, papers_from, table, text, tokens_of
 from paperloom.plans.registry import query
-from paperloom.session import work_path
+from paperloom.session import stored, work_path
 from paperloom.sources import files as A
 from paperloom.sources import sinks as K
 
@@ -199,7 +199,8 @@ def e1_assemble(spark, sf_dir):
     bib = F.when(F.col("p") % 4 != 0, text('<biblStruct xml:id="b{n}"><title>T{p}</title></biblStruct>')).otherwise("")
     docs = papers_from(cites(spark, sf_dir), "<TEI><body>", line, "</body><back><listBibl>", bib, "</listBibl></back></TEI>")
     tokens = tokens_of(docs)
-    bibs = tei_bibliography(tokens).select("doc_id", C.tei_key(F.col("bib_id")).alias("key"), "pos", "title", "year", "venue")
+    # The entries are asked for twice, by the citations and by the papers.
+    bibs = stored(tei_bibliography(tokens).select("doc_id", C.tei_key(F.col("bib_id")).alias("key"), "pos", "title", "year", "venue"), "bibs")
     laid = C.cited_paragraphs(C.keyed_units(C.paragraph_pieces(tokens), bibs)).withColumnRenamed("para_pos", "pos")
     numbered = S.number_paragraphs(laid).withColumn("part", F.lit("body_text"))
     # Spans stay with their paragraph, so nothing has to be joined again.
